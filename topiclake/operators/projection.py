@@ -11,8 +11,8 @@ from topiclake.functions.scalars import choice
 # ---- messages <-> values
 
 
-def convert_schemaless(df: DataFrame) -> DataFrame:
-    return df.select(F.col("key").cast("string"), F.col("value").cast("string"), F.col("timestamp"))
+def convert_schemaless(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return df.select(F.col("key").cast("string"), F.col("value").cast("string"), F.col("timestamp"), *(keep or []))
 
 
 def decode_json(df: DataFrame, schema: T.StructType | str, col: str = "value") -> DataFrame:
