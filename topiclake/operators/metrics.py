@@ -129,16 +129,18 @@ def as_counter(
     """Samples of a running total per label set, one per row of ``df``.
 
     Totals run inside a time chunk, then chunk totals run per series, so a series
-    that holds most of the rows is spread over its chunks.
+    that holds most of the rows is spread over its chunks. Increments are summed
+    as decimals with six places: a total must never fall by rounding.
     """
     size = duration_us(chunk)
-    order = [c for c in ("_t", tie and "_tie") if c]
+    order = ["_t", *(["_tie"] if tie else [])]
+    inc = F.lit(1).cast("bigint") if increment is None else increment.cast("decimal(28,6)")
     rows = df.select(
         F.lit(metric).alias("metric"),
         series_key(labels).alias("series_key"),
         epoch_us(ts).alias("_t"),
         *([F.col(tie).alias("_tie")] if tie else []),
-        (F.lit(1.0) if increment is None else increment.cast("double")).alias("_inc"),
+        inc.alias("_inc"),
     ).withColumn("_c", _slot(F.col("_t"), size))
     inside = Window.partitionBy(*SERIES, "_c").orderBy(*order)
     local = rows.withColumn("_run", F.sum("_inc").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
@@ -146,13 +148,13 @@ def as_counter(
     totals = (
         rows.groupBy(*SERIES, "_c")
         .agg(F.sum("_inc").alias("_total"))
-        .select(*SERIES, "_c", F.coalesce(F.sum("_total").over(before), F.lit(0.0)).alias("_base"))
+        .select(*SERIES, "_c", F.sum("_total").over(before).alias("_base"))
     )
     return local.join(totals, [*SERIES, "_c"]).select(
         *SERIES,
         F.from_json("series_key", LABELS_TYPE).alias("labels"),
         F.timestamp_micros("_t").alias("ts"),
-        (F.col("_base") + F.col("_run")).alias("value"),
+        F.coalesce(F.col("_base") + F.col("_run"), F.col("_run")).cast("double").alias("value"),
     )
 
 
