@@ -25,7 +25,7 @@ def as_unsigned(col: Column | str, bits: int) -> Column:
         return c.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))
     if bits == 64:
         d = c.cast("decimal(20,0)")
-        return F.when(c < 0, d + F.lit(2**64).cast("decimal(20,0)")).otherwise(d).cast("decimal(20,0)")
+        return F.when(c < 0, d + F.lit(str(2**64)).cast("decimal(20,0)")).otherwise(d).cast("decimal(20,0)")
     raise ValueError("bits must be 32 or 64")
 
 

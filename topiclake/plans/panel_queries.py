@@ -54,7 +54,7 @@ def agg_sql(source: str, fn: str, by: list[str] | None = None) -> str:
 
 def quantile_sql(source: str, phis: list[float]) -> str:
     """``source`` gives ``le, step, value`` already summed over series."""
-    values = ", ".join(f"({p})" for p in phis)
+    values = ", ".join(f"(cast({p} AS double))" for p in phis)
     return f"""(
         WITH b AS (SELECT step, CASE le WHEN '+Inf' THEN cast('inf' AS double) ELSE cast(le AS double) END AS le, value AS c FROM {source}),
         r AS (SELECT step, le, c, phi, phi * total AS rank, total,
