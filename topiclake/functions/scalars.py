@@ -72,6 +72,15 @@ def classify(col: Column | str, steps: list[tuple[float | None, str]]) -> Column
     return F.when(c.isNotNull(), out)
 
 
+def once(expression: Column) -> Column:
+    """Evaluate an expensive expression once per row.
+
+    Later filters and projections would each repeat it, since the optimizer
+    moves them past a plain projection; a generator stops that.
+    """
+    return F.explode(F.array(expression))
+
+
 def anchored(pattern: str) -> str:
     """A label regex has to match the whole value."""
     return f"^(?:{pattern})$"

@@ -32,6 +32,13 @@ def series_key(labels: Column | str = "labels") -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(c))))
 
 
+def label_key(labels: dict[str, Column]) -> Column:
+    """The same text from label columns; a null label is absent."""
+    if not labels:
+        return F.lit("{}")
+    return F.to_json(F.struct(*[labels[n].cast("string").alias(n) for n in sorted(labels)]))
+
+
 def with_series_key(df: DataFrame) -> DataFrame:
     return df if "series_key" in df.columns else df.withColumn("series_key", series_key())
 
@@ -120,7 +127,7 @@ def _samples(df: DataFrame, ts: str, value: str) -> DataFrame:
 def as_counter(
     df: DataFrame,
     metric: str,
-    labels: Column,
+    labels: dict[str, Column],
     ts: str = "ts",
     increment: Column | None = None,
     tie: str | None = None,
@@ -129,15 +136,17 @@ def as_counter(
     """Samples of a running total per label set, one per row of ``df``.
 
     Totals run inside a time chunk, then chunk totals run per series, so a series
-    that holds most of the rows is spread over its chunks. Increments are summed
-    as decimals with six places: a total must never fall by rounding.
+    that holds most of the rows is spread over its chunks. Fractions are summed as
+    decimals with six places: a total must never fall by rounding.
     """
     size = duration_us(chunk)
     order = ["_t", *(["_tie"] if tie else [])]
-    inc = F.lit(1).cast("bigint") if increment is None else increment.cast("decimal(28,6)")
+    inc = F.lit(1) if increment is None else increment
+    whole = df.select(inc.alias("_i")).schema["_i"].dataType.typeName() in ("byte", "short", "integer", "long")
+    inc = inc.cast("bigint" if whole else "decimal(28,6)")
     rows = df.select(
         F.lit(metric).alias("metric"),
-        series_key(labels).alias("series_key"),
+        label_key(labels).alias("series_key"),
         epoch_us(ts).alias("_t"),
         *([F.col(tie).alias("_tie")] if tie else []),
         inc.alias("_inc"),

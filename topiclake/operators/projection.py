@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topiclake.functions.scalars import choice
+from topiclake.functions.scalars import choice, once
 
 # ---- messages <-> values
 
@@ -68,8 +68,13 @@ def with_choice(df: DataFrame, oneof: str, branches: list[str]) -> DataFrame:
 # ---- event lines
 
 
+_EVENT_JSON = (
+    "id string, type string, created_at string, actor struct<login:string>, repo struct<name:string>, _bad string"
+)
+
+
 def _parsed_lines(df: DataFrame, col: str) -> DataFrame:
-    return df.where(F.trim(F.col(col)) != "").withColumn("_json", F.try_parse_json(F.col(col)))
+    return df.where(F.trim(F.col(col)) != "").select("*", F.try_parse_json(F.col(col)).alias("_json"))
 
 
 def drop_malformed(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -97,28 +102,31 @@ def map_event(df: DataFrame, col: str = "value") -> DataFrame:
     A missing ``actor`` or ``repo`` gives null; a present one that is not an
     object makes the line invalid, as does a missing or unreadable time.
     """
-    j = F.col("_json")
+    c = F.col(col)
+    # only the declared fields are read; a broken line or a field of another kind fills _bad
+    options = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
+    parsed = df.where(F.ltrim(c).startswith("{")).select(once(F.from_json(c, _EVENT_JSON, options)).alias("_e"), c.alias("_line"))
 
-    def text(path: str) -> Column:
-        return F.try_variant_get(j, path, "string")
+    def missing(path: str) -> Column:
+        """The key is absent, as opposed to an explicit null; looked up for null parents only."""
+        return F.try_variant_get(F.try_parse_json(F.col("_line")), path, "variant").isNull()
 
-    def object_or_missing(path: str) -> Column:
-        kind = F.schema_of_variant(F.try_variant_get(j, path, "variant"))
-        return kind.isNull() | kind.startswith("OBJECT")
+    def usable(name: str) -> Column:
+        return F.when(F.col(f"_e.{name}").isNotNull(), F.lit(True)).otherwise(missing(f"$.{name}"))
 
     return (
-        _parsed_lines(df, col)
-        .where(F.schema_of_variant(j).startswith("OBJECT"))
-        .where(object_or_missing("$.actor") & object_or_missing("$.repo"))
+        parsed.where(F.col("_e._bad").isNull())
         .select(
-            text("$.id").alias("id"),
-            text("$.type").alias("type"),
-            text("$.actor.login").alias("actor_login"),
-            text("$.repo.name").alias("repo_name"),
+            "_e.id",
+            "_e.type",
+            F.col("_e.actor.login").alias("actor_login"),
+            F.col("_e.repo.name").alias("repo_name"),
             F.lit(None).cast("string").alias("org_login"),
-            F.try_to_timestamp(text("$.created_at")).alias("created_at"),
+            F.try_to_timestamp("_e.created_at").alias("created_at"),
+            (usable("actor") & usable("repo")).alias("_usable"),
         )
-        .where(F.col("created_at").isNotNull())
+        .where(F.col("created_at").isNotNull() & F.col("_usable"))
+        .drop("_usable")
     )
 
 

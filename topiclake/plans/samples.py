@@ -8,10 +8,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.operators.metrics import as_counter
+from topiclake.operators.metrics import as_counter, label_key
 from topiclake.plans.bound import load
 
 REGION = "'region-' || cast(user_id % 3 as string)"
@@ -110,26 +110,30 @@ SOURCES: dict[str, Source] = {
 }
 
 
-def _labels(labels: dict[str, str]):
-    if not labels:
-        return F.create_map().cast("map<string,string>")
-    return F.create_map(*[x for n, e in labels.items() for x in (F.lit(n), F.expr(e))])
+def _labels(src: Source) -> dict[str, Column]:
+    return {n: F.expr(e) for n, e in src.labels.items()}
 
 
 def _one(events: DataFrame, metric: str) -> DataFrame:
     src = SOURCES[metric]
     df = events.where(src.where)
-    labels, value = _labels(src.labels), F.expr(src.value)
+    labels, value = _labels(src), F.expr(src.value)
     if src.kind == "raw":
-        return df.select(F.lit(metric).alias("metric"), labels.alias("labels"), F.col("ts").cast("timestamp").alias("ts"), value.cast("double").alias("value"))
+        return df.select(
+            F.lit(metric).alias("metric"),
+            label_key(labels).alias("series_key"),
+            F.create_map(*[x for n, c in labels.items() for x in (F.lit(n), c)]).cast("map<string,string>").alias("labels"),
+            F.col("ts").cast("timestamp").alias("ts"),
+            value.cast("double").alias("value"),
+        )
     if src.kind == "counter":
         increment = None if src.value == "1" else value
-        return as_counter(df, metric, labels, increment=increment, tie="event_id").drop("series_key")
-    bounds = F.array(*[F.struct(F.lit(b).alias("le"), F.lit(float(b)).alias("upper")) for b in BOUNDS], F.struct(F.lit("+Inf").alias("le"), F.lit(float("inf")).alias("upper")))
+        return as_counter(df, metric, labels, increment=increment, tie="event_id")
+    bounds = F.array(*[F.struct(F.lit(b).alias("le"), F.lit(float(b)).alias("upper")) for b in [*BOUNDS, "inf"]])
     df = df.select("*", F.explode(bounds).alias("_b"))
-    labels = F.map_concat(labels, F.create_map(F.lit("le"), F.col("_b.le")))
+    labels["le"] = F.when(F.col("_b.le") == "inf", F.lit("+Inf")).otherwise(F.col("_b.le"))
     increment = (value <= F.col("_b.upper")).cast("int")
-    return as_counter(df, metric, labels, increment=increment, tie="event_id").drop("series_key")
+    return as_counter(df, metric, labels, increment=increment, tie="event_id")
 
 
 def samples(spark: SparkSession, sf_dir: str, metrics: list[str]) -> DataFrame:

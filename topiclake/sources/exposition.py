@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topiclake.functions.scalars import once
+
 _LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{(.*)\})?\s+(\S+)(?:\s+(-?\d+))?\s*$"
-_LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*)="((?:[^"\\]|\\.)*)"'
+_LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*+)="([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 
 
 def _number(text: Column) -> Column:
@@ -25,18 +27,23 @@ def _unescape(text: Column) -> Column:
 def parse_exposition(lines: DataFrame, col: str = "value", keep: list[str] | None = None) -> DataFrame:
     """``metric, labels, value`` of every sample line; comments, blank and bad lines are skipped."""
     c = F.trim(F.col(col))
-    body = F.regexp_extract(c, _LINE, 2)
-    names = F.regexp_extract_all(body, F.lit(_LABEL), 1)
-    values = F.transform(F.regexp_extract_all(body, F.lit(_LABEL), 2), _unescape)
+    # one match per line: name, label text and number, split at a mark
+    parts = F.split(F.regexp_replace(c, _LINE, "$1\u0001$2\u0001$3"), "\u0001")
+    pairs = F.regexp_extract_all("_body", F.lit(_LABEL), F.lit(0))
+
+    def entry(pair: Column) -> Column:
+        cut = F.instr(pair, "=")
+        text = F.substring(pair, cut + 2, F.length(pair) - cut - 2)
+        plain = F.when(F.contains(text, F.lit("\\")), _unescape(text)).otherwise(text)
+        return F.struct(F.substring(pair, F.lit(1), cut - 1), plain)
+
     return (
-        lines.where(~c.startswith("#") & c.rlike(_LINE))
-        .select(
-            *(keep or []),
-            F.regexp_extract(c, _LINE, 1).alias("metric"),
-            F.map_from_arrays(names, values).alias("labels"),
-            _number(F.regexp_extract(c, _LINE, 3)).alias("value"),
-        )
+        lines.where(~c.startswith("#"))
+        .select(*(keep or []), once(parts).alias("_p"))
+        .where(F.size("_p") == 3)
+        .select(*(keep or []), F.col("_p")[0].alias("metric"), F.col("_p")[1].alias("_body"), _number(F.col("_p")[2]).alias("value"))
         .where(F.col("value").isNotNull())
+        .select(*(keep or []), "metric", F.map_from_entries(F.transform(pairs, entry)).alias("labels"), "value")
     )
 
 

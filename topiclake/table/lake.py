@@ -7,9 +7,9 @@ seen and a retried batch overwrites the directory it left behind. A table has
 one writer at a time (its ingestion job).
 
 Keyed tables store change rows with ``_op`` and ``_ord`` and are merged on
-read. Rows are also split by ``kb``, a hash bucket of the key: ``compact``
-folds only buckets that received changes, and a read leaves the folded rows
-unshuffled as long as the changed keys are few.
+read. Fresh changes lie together under ``kb=-1``. ``compact`` folds them into
+hash buckets of the key (``kb=0`` and up), rewriting only buckets that received
+changes, and a read leaves folded rows unshuffled while the changed keys are few.
 """
 
 from __future__ import annotations
@@ -29,10 +29,11 @@ COMMIT_SCHEMA = (
     "parent_id bigint, committed_at timestamp, operation string, topic string, stream_id string, batch_id bigint, "
     "spec_id int, partition_by array<string>, id_columns array<string>, key_buckets int, schema_json string, "
     "record_count bigint, max_message_ts timestamp, options map<string,string>, live_from bigint, "
-    "base_default bigint, bucket_base map<string,bigint>, specs map<string,string>, streams map<string,bigint>"
+    "folded_to bigint, base_default bigint, bucket_base map<string,bigint>, specs map<string,string>, streams map<string,bigint>"
 )
 ORDER_TYPE = "struct<ts:timestamp,partition:int,offset:bigint>"
 DEFAULT_KEY_BUCKETS = 64
+FRESH = -1  # bucket of changes that are not folded yet
 RESERVED = {"commit", "spec", "kb", "_op", "_ord"}
 
 
@@ -125,7 +126,7 @@ class LakeTable:
         if head is None:
             return {
                 "commit_id": -1, "spec_id": 0, "partition_by": [], "id_columns": [], "schema_json": None,
-                "key_buckets": DEFAULT_KEY_BUCKETS, "options": {}, "live_from": 0, "base_default": -1,
+                "key_buckets": DEFAULT_KEY_BUCKETS, "options": {}, "live_from": 0, "folded_to": -1, "base_default": -1,
                 "bucket_base": {}, "specs": {}, "streams": {},
             }
         return head.asDict()
@@ -232,16 +233,17 @@ class LakeTable:
     def _data_dir(self, spec_id: int, commit_id: int) -> str:
         return f"{self.path}/data/spec={spec_id}/commit={commit_id}"
 
-    def _write_files(self, df: DataFrame, state: dict, observe: list[Column]) -> dict:
+    def _write_files(self, df: DataFrame, state: dict, observe: list[Column], bucket: Column | None = None) -> dict:
         """Write one commit directory; returns the observed metrics."""
         fields = parse_partition_by(list(state["partition_by"]))
         parts = [p.name for p in fields]
         df = df.withColumns({p.name: p.value() for p in fields}) if fields else df
+        spread = ["kb", *parts] if bucket is not None else parts
         if "_op" in df.columns:
-            parts = ["kb", *parts]
-        if parts:
+            df, parts = df.withColumn("kb", F.lit(FRESH) if bucket is None else bucket), ["kb", *parts]
+        if spread:
             # few files per partition; adaptive execution splits a partition that dominates
-            df = df.hint("rebalance", *parts)
+            df = df.hint("rebalance", *spread)
         # observed in the writing stage, so that recomputed shuffle tasks do not count twice
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *observe)
@@ -261,7 +263,7 @@ class LakeTable:
         have = set(df.columns)
         df = df.select(
             *[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in merged.fields],
-            *[c for c in ("_op", "_ord", "kb", "_message_ts") if c in have],
+            *[c for c in ("_op", "_ord", "_message_ts") if c in have],
         )
         observe = []
         if message_ts:
@@ -323,7 +325,6 @@ class LakeTable:
         changes = df.withColumns({"_op": operation_col, "_ord": ordering})
         changes = changes.drop(*(hidden - {"_op", "_ord", "_message_ts"}))
         changes = latest_by_key(changes, keys, ["_ord"])
-        changes = changes.withColumn("kb", self._bucket(keys))
         return self._write(changes, operation, stream, topic, message_ts)
 
     def apply_changes(self, df: DataFrame, id_columns: list[str] | None = None, order: list[str | Column] | None = None, op_col: str = "_cdc.op", **kw) -> int:
@@ -336,7 +337,8 @@ class LakeTable:
     def truncate(self) -> int:
         """Empty the table; its schema, options and history stay."""
         state = self._state()
-        state.update(live_from=state["commit_id"] + 1, base_default=-1, bucket_base={}, specs={}, spec_id=state["spec_id"] + 1)
+        new = state["commit_id"] + 1
+        state.update(live_from=new, folded_to=new, base_default=-1, bucket_base={}, specs={}, spec_id=state["spec_id"] + 1)
         return self._commit(state, "truncate")
 
     # ---- reading
@@ -372,8 +374,15 @@ class LakeTable:
             out = df if out is None else out.unionByName(df, allowMissingColumns=True)
         return out
 
+    def _folded(self, raw: DataFrame) -> DataFrame:
+        """Folded rows: of each key bucket those of the commit that folded it last."""
+        return raw.where((F.col("kb") >= 0) & (F.col("commit") == self._base_commit()))
+
+    def _fresh(self, raw: DataFrame) -> DataFrame:
+        """Changes since the last fold."""
+        return raw.where((F.col("kb") == FRESH) & (F.col("commit") > self._state()["folded_to"]))
+
     def _base_commit(self) -> Column:
-        """Commit that holds the folded rows of a key bucket, -1 when there is none."""
         state = self._state()
         default = F.lit(state["base_default"]).cast("bigint")
         if not state["bucket_base"]:
@@ -381,28 +390,28 @@ class LakeTable:
         pairs = [F.lit(int(x)) for kv in sorted(state["bucket_base"].items()) for x in kv]
         return F.coalesce(F.try_element_at(F.create_map(*pairs).cast("map<int,bigint>"), F.col("kb")), default)
 
-    def _merged(self, raw: DataFrame) -> DataFrame:
+    def _merged(self, raw: DataFrame, buckets: list[int] | None = None) -> DataFrame:
         """Newest row per key (with ``_op``, ``_ord``), deleted keys included: folded rows plus newer changes."""
         keys = self.id_columns
         rank = F.struct("_ord.ts", "_ord.partition", "_ord.offset", "commit")
-        base_commit = self._base_commit()
-        has_base = self._state()["base_default"] >= 0 or bool(self._state()["bucket_base"])
-        changes = raw.where(F.col("commit") > base_commit).withColumn("_rank", rank)
+        changes = self._fresh(raw).withColumn("_rank", rank)
         delta = latest_by_key(changes, keys, ["_rank"])
-        if not has_base:
+        if self._state()["base_default"] < 0 and not self._state()["bucket_base"]:
             return delta.drop("_rank")
-        base = raw.where(F.col("commit") == base_commit).withColumn("_rank", rank)
-
-        # key columns only; small change sets are broadcast by their measured size
-        d = changes.groupBy(*keys).agg(F.max("_rank").alias("_rank")).alias("d")
+        base = self._folded(raw)
+        if buckets is not None:
+            base = base.where(F.col("kb").isin(buckets))
+        base = base.withColumn("_rank", rank)
         b = base.alias("b")
 
         def on(left: str, right: str) -> Column:
-            cond = F.col(f"{left}.{keys[0]}").eqNullSafe(F.col(f"{right}.{keys[0]}"))
-            for k in keys[1:]:
+            cond = F.lit(True)
+            for k in keys:
                 cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
             return cond
 
+        # key columns only; small change sets are broadcast by their measured size
+        d = changes.groupBy(*keys).agg(F.max("_rank").alias("_rank")).alias("d")
         kept_base = b.join(d, on("b", "d") & (F.col("d._rank") >= F.col("b._rank")), "left_anti")
         # late changes lose against folded rows: only keys that changed are looked up
         touched = base.select(*keys, "_rank").alias("t").join(d, on("t", "d"), "left_semi").alias("t")
@@ -464,20 +473,21 @@ class LakeTable:
         state = self._state()
         if not state["id_columns"] or not state["specs"]:
             return state["commit_id"]
-        raw = self._raw()
-        changed = raw.where(F.col("commit") > self._base_commit()).select("kb").distinct()
+        raw, bucket = self._raw(), self._bucket(state["id_columns"])
+        changed = self._fresh(raw).select(bucket.alias("kb")).distinct()
         buckets = sorted(r.kb for r in changed.collect())  # at most key_buckets numbers
         if not buckets:
             return state["commit_id"]
-        rows = self._merged(raw.where(F.col("kb").isin(buckets)))
+        rows = self._merged(raw, buckets)
         new = state["commit_id"] + 1
-        seen = self._write_files(self._stored(rows), state, [])
+        seen = self._write_files(self._stored(rows), state, [], bucket)
         state["bucket_base"] = {**state["bucket_base"], **{str(b): new for b in buckets}}
+        state["folded_to"] = new
         self._mark_spec(state)
         return self._commit(state, "compact", seen.get("rows") or 0)
 
     def _stored(self, rows: DataFrame) -> DataFrame:
-        return rows.select(*[f"`{c}`" for c in self.schema.names], "_op", "_ord", "kb")
+        return rows.select(*[f"`{c}`" for c in self.schema.names], "_op", "_ord")
 
     def _rewrite(self, keys: list[str]) -> int:
         state = self._state()
@@ -486,11 +496,10 @@ class LakeTable:
             rows = self._merged(raw).where(F.col("_op") != "d")
         else:
             rows = raw.withColumns({"_op": F.lit("u"), "_ord": F.lit(None).cast(ORDER_TYPE)})
-        rows = self._stored(rows.withColumn("kb", self._bucket(keys)))
         new = state["commit_id"] + 1
         state.update(id_columns=keys, spec_id=state["spec_id"] + 1)
-        seen = self._write_files(rows, state, [])
-        state.update(live_from=new, base_default=new, bucket_base={}, specs={})
+        seen = self._write_files(self._stored(rows), state, [], self._bucket(keys))
+        state.update(live_from=new, folded_to=new, base_default=new, bucket_base={}, specs={})
         self._mark_spec(state)
         return self._commit(state, "set id.columns", seen.get("rows") or 0)
 
