@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from tests.fixtures import KINDS, ORDER_V1, ORDER_V2, product_files, product_registry, registry_df
 from topiclake.formats import avro, protobuf, registry, wire
+from topiclake.session import shared_dir
+from topiclake.table import LakeTable
 
 UTC = dt.timezone.utc
 
@@ -69,8 +71,11 @@ def test_avro_all_kinds(spark):
     row = ("a", 1.5, b"abcd", Decimal("-12.34"), "0-0", dt.date(1969, 12, 31), dt.time(1, 2, 3, 4000), dt.time(1, 2, 3, 4), None, {1: "x", -70: "y"})
     df = spark.createDataFrame([row], avro.avro_to_struct(KINDS))
     reg = registry_df(spark, [("k", 1, 1, "AVRO", KINDS, [])])
-    got = avro.decode_avro(avro.encode_avro(df, 1, KINDS), reg).select("value.*").first()
-    assert tuple(got) == row
+    decoded = avro.decode_avro(avro.encode_avro(df, 1, KINDS), reg).select("value.*")
+    assert tuple(decoded.first()) == row
+    table = LakeTable(spark, shared_dir(spark, "kinds"))
+    table.append(decoded)
+    assert tuple(table.read().first()) == row
 
 
 def test_wire_format(spark):
@@ -138,3 +143,68 @@ def test_protobuf_recursion_is_refused():
     d = protobuf.message_descriptor([protobuf.file_text(common), protobuf.file_text(product)], "shop.Node")
     with pytest.raises(ValueError):
         protobuf.proto_to_struct(d)
+
+
+def long_bytes(n):
+    z, out = (n << 1) ^ (n >> 63), bytearray()
+    while z > 0x7F:
+        out.append((z & 0x7F) | 0x80)
+        z >>= 7
+    return bytes(out) + bytes([z])
+
+
+def test_sized_blocks_and_broken_rows():
+    """Arrays in several blocks, also with a byte size; damaged payloads leave other rows alone."""
+    import numpy as np
+    import pyarrow as pa
+
+    schema = {"type": "record", "name": "R", "fields": [{"name": "a", "type": {"type": "array", "items": "long"}}, {"name": "s", "type": "string"}]}
+    body = lambda xs: b"".join(map(long_bytes, xs))
+    text = long_bytes(2) + b"hi"
+    several = long_bytes(2) + body([1, -2]) + long_bytes(-3) + long_bytes(len(body([5, 300, 7]))) + body([5, 300, 7]) + b"\x00" + text
+    rows = [
+        several,
+        b"\x00" + text,
+        several + b"!",  # bytes left over
+        several[:-1],  # text too short
+        long_bytes(2**40) + b"\x02",  # more items than bytes
+        b"\x00" + long_bytes(-4),
+        b"\x00" + long_bytes(2) + b"\xff\xfe",  # not UTF-8
+        b"",
+        b"\xff" * 12,
+        None,
+        b"\x00" + text,
+    ]
+    t = pa.struct([("a", pa.list_(pa.int64())), ("s", pa.string())])
+    reader = avro._reader(schema, avro._Names(), "")
+    got = avro.decode_batch(pa.array(rows, pa.binary()), np.full(len(rows), 1), {1: reader}, t).to_pylist()
+    assert got[0] == {"a": [1, -2, 5, 300, 7], "s": "hi"}
+    assert got[1] == got[10] == {"a": [], "s": "hi"}
+    assert got[2:10] == [None] * 8
+
+
+def test_numbers_of_every_length():
+    import numpy as np
+    import pyarrow as pa
+
+    values = [s * (2**k + d) for k in range(63) for d in (-1, 0, 1) for s in (1, -1)] + [2**63 - 1, -(2**63), 0]
+    schema = {"type": "record", "name": "R", "fields": [{"name": "x", "type": ["null", "long"]}, {"name": "m", "type": {"type": "map", "values": ["null", "double"]}}]}
+    t = pa.struct([("x", pa.int64()), ("m", pa.map_(pa.string(), pa.float64()))])
+    rows = [{"x": None if i % 7 == 3 else v, "m": [(f"k{j}", None if j == 1 else v / 3) for j in range(i % 4)]} for i, v in enumerate(values)]
+    column = pa.array(rows, t)
+    size, data = avro._writer(schema, avro._Names(), "")(column)
+    wire_values = avro._binary(data, size)
+    plain = [b for b, r in zip(wire_values.to_pylist(), rows) if r["x"] is not None and not r["m"]]
+    assert plain == [long_bytes(1) + long_bytes(r["x"]) + b"\x00" for r in rows if r["x"] is not None and not r["m"]]
+    reader = avro._reader(schema, avro._Names(), "")
+    for part in (slice(0, None), slice(5, 40)):
+        cut = wire_values[part]
+        assert avro.decode_batch(cut, np.full(len(cut), 1), {1: reader}, t).equals(column[part])
+
+
+def test_required_null_is_refused(spark):
+    import pyarrow as pa
+
+    schema = {"type": "record", "name": "R", "fields": [{"name": "x", "type": "long"}]}
+    with pytest.raises(ValueError):
+        avro._writer(schema, avro._Names(), "")(pa.array([{"x": None}], pa.struct([("x", pa.int64())])))

@@ -21,13 +21,14 @@ def build_session(app: str = "topiclake", master: str | None = None, **conf) ->
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return use_utc(builder.getOrCreate())
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Time functions below assume UTC wall-clock values."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Time functions assume UTC wall-clock values; times of day need their type switched on."""
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.timeType.enabled", "true")):
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
