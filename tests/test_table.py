@@ -156,6 +156,22 @@ def test_unfinished_write_is_not_read_and_is_replaced(spark, table):
     assert table.read().count() == 5
 
 
+def test_compaction_of_an_append_table(spark, table):
+    def stored():
+        return table.files().count()
+
+    for i in range(3):
+        table.append(orders(spark, 4 * i, 4))
+    before = sorted(table.read().collect())
+    many = stored()
+    table.compact()
+    assert sorted(table.read().collect()) == before and stored() < many
+    table.append(orders(spark, 12, 4))
+    table.compact()
+    assert table.read().count() == 16 and table.read().distinct().count() == 16
+    assert table.read_commits([1]).count() == 4  # a follower still finds what a commit added
+
+
 def test_same_stream_batch_commits_once(spark, table):
     table.append(orders(spark, 0, 4), stream=("s", 0))
     table.append(orders(spark, 0, 4), stream=("s", 0))

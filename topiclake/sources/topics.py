@@ -1,7 +1,7 @@
 """Topics: Kafka when servers are named, else a topic log of Parquet files.
 
-A topic log keeps Kafka's columns under ``<path>/messages/topic=<t>`` and the
-states of transactions under ``<path>/txns``.
+A topic log keeps Kafka's columns under ``<path>/messages/topic=<t>/append=<n>``
+and the states of transactions under ``<path>/txns``.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.session import path_exists, use_utc
+from topiclake.session import child_names, path_exists, use_utc
 
 MESSAGE_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 LOG_SCHEMA = (
-    "key binary, value binary, partition int, offset bigint, timestamp timestamp, txn_id string, topic string"
+    "key binary, value binary, partition int, offset bigint, timestamp timestamp, txn_id string, "
+    "topic string, append bigint"
 )
 TXN_SCHEMA = "txn_id string, status string, ts timestamp"
 DEFAULT_PARTITIONS = 16
@@ -120,6 +121,19 @@ def to_messages(
     )
 
 
+def _next_append(spark: SparkSession, root: str) -> tuple[int, int]:
+    """Number of the next append and its first offset.
+
+    Offsets rise from append to append, so only the newest one with rows is read.
+    """
+    numbers = sorted((int(n.partition("=")[2]) for n in child_names(spark, root) if n.startswith("append=")), reverse=True)
+    for n in numbers:
+        last = spark.read.schema("offset bigint").parquet(f"{root}/append={n}").agg(F.max("offset")).first()[0]
+        if last is not None:
+            return numbers[0] + 1, last + 1
+    return (numbers[0] + 1 if numbers else 0), 0
+
+
 def write_topic(
     df: DataFrame,
     location: str,
@@ -136,12 +150,10 @@ def write_topic(
         out = to_messages(df, topic, key, value, timestamp, partitions)
         out.select("key", "value", "topic", "timestamp").write.format("kafka").option("kafka.bootstrap.servers", location).save()
         return
-    first = 0
-    if path_exists(spark, f"{location}/messages/topic={topic}"):
-        first = read_topic(spark, location, topic).agg(F.coalesce(F.max("offset") + 1, F.lit(0))).first()[0]
-    out = to_messages(df, topic, key, value, timestamp, partitions, first)
-    out = out.withColumn("txn_id", F.lit(txn_id).cast("string"))
-    out.write.mode("append").partitionBy("topic").parquet(f"{location}/messages")
+    root = f"{location}/messages/topic={topic}"
+    append, first = _next_append(spark, root)
+    out = to_messages(df, topic, key, value, timestamp, partitions, first).drop("topic")
+    out.withColumn("txn_id", F.lit(txn_id).cast("string")).write.parquet(f"{root}/append={append}")
 
 
 def _mark(spark: SparkSession, location: str, txn_id: str, status: str) -> None:

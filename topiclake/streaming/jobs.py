@@ -70,7 +70,7 @@ def follow_table(
     never seen and each commit is read once.
     """
     commits = (
-        spark.readStream.schema(f"{COMMIT_SCHEMA}, commit_id bigint")
+        spark.readStream.schema(f"{COMMIT_SCHEMA}, block bigint, commit_id bigint")
         .option("maxFilesPerTrigger", max_commits)
         .parquet(f"{source.path}/commits")
         .where(F.col("operation") == "append")

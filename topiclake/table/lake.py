@@ -1,6 +1,6 @@
 """Parquet tables with a commits table: appends, upserts, change data, evolution, history.
 
-Layout: ``<path>/data/spec=<s>/commit=<n>/...`` and ``<path>/commits/commit_id=<n>``.
+Layout: ``<path>/data/spec=<s>/commit=<n>/...`` and ``<path>/commits/block=<b>/commit_id=<n>``.
 A commit is visible once its row exists in ``commits``; readers take the newest
 row and prune ``commit`` directories with it, so half-written data is never
 seen and a retried batch overwrites the directory it left behind. A table has
@@ -15,6 +15,7 @@ changes, and a read leaves folded rows unshuffled while the changed keys are few
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
@@ -29,14 +30,20 @@ COMMIT_SCHEMA = (
     "parent_id bigint, committed_at timestamp, operation string, topic string, stream_id string, batch_id bigint, "
     "spec_id int, partition_by array<string>, id_columns array<string>, key_buckets int, schema_json string, "
     "record_count bigint, max_message_ts timestamp, options map<string,string>, live_from bigint, "
-    "folded_to bigint, base_default bigint, bucket_base map<string,bigint>, specs map<string,string>, streams map<string,bigint>"
+    "folded_to bigint, base_default bigint, bucket_base map<string,bigint>, compacted array<bigint>, specs map<string,string>, streams map<string,bigint>"
 )
 ORDER_TYPE = "struct<ts:timestamp,partition:int,offset:bigint>"
 DEFAULT_KEY_BUCKETS = 64
 FRESH = -1  # bucket of changes that are not folded yet
+COMMITS_PER_BLOCK = 1000
 RESERVED = {"commit", "spec", "kb", "_op", "_ord"}
 
 
+def _numbers(names: list[str], key: str) -> list[int]:
+    """Values of ``key=<n>`` folders, largest first."""
+    return sorted((int(n.partition("=")[2]) for n in names if n.startswith(f"{key}=")), reverse=True)
+
+
 def _ddl(text: str) -> T.DataType:
     return T._parse_datatype_string(text)
 
@@ -111,23 +118,29 @@ class LakeTable:
     def head(self) -> Row | None:
         """The newest commit row: it carries the table's whole current state."""
         if self._head is None:
-            root = f"{self.path}/commits"
-            names = child_names(self.spark, root)
-            ids = sorted((int(n.partition("=")[2]) for n in names if n.startswith("commit_id=")), reverse=True)
-            for commit_id in ids:
-                row = self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/commit_id={commit_id}").first()
+            for commit_id in self._newest_ids():
+                row = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commit_dir(commit_id)).first()
                 if row is not None:  # None: the writer stopped before the row was in place
                     self._head = Row(commit_id=commit_id, **row.asDict())
                     break
         return self._head
 
+    def _commit_dir(self, commit_id: int) -> str:
+        return f"{self.path}/commits/block={commit_id // COMMITS_PER_BLOCK}/commit_id={commit_id}"
+
+    def _newest_ids(self) -> Iterator[int]:
+        """Commit numbers from the newest down; blocks keep each listing short."""
+        root = f"{self.path}/commits"
+        for block in _numbers(child_names(self.spark, root), "block"):
+            yield from _numbers(child_names(self.spark, f"{root}/block={block}"), "commit_id")
+
     def _state(self) -> dict:
         head = self.head()
         if head is None:
             return {
                 "commit_id": -1, "spec_id": 0, "partition_by": [], "id_columns": [], "schema_json": None,
                 "key_buckets": DEFAULT_KEY_BUCKETS, "options": {}, "live_from": 0, "folded_to": -1, "base_default": -1,
-                "bucket_base": {}, "specs": {}, "streams": {},
+                "bucket_base": {}, "compacted": [], "specs": {}, "streams": {},
             }
         return head.asDict()
 
@@ -146,7 +159,7 @@ class LakeTable:
             .select(F.from_json(F.lit(text), COMMIT_SCHEMA).alias("c"))
             .select("c.*")
             .write.mode("overwrite")
-            .parquet(f"{self.path}/commits/commit_id={commit_id}")
+            .parquet(self._commit_dir(commit_id))
         )
         self._head = None
         return commit_id
@@ -338,7 +351,7 @@ class LakeTable:
         """Empty the table; its schema, options and history stay."""
         state = self._state()
         new = state["commit_id"] + 1
-        state.update(live_from=new, folded_to=new, base_default=-1, bucket_base={}, specs={}, spec_id=state["spec_id"] + 1)
+        state.update(live_from=new, folded_to=new, base_default=-1, bucket_base={}, compacted=[], specs={}, spec_id=state["spec_id"] + 1)
         return self._commit(state, "truncate")
 
     # ---- reading
@@ -362,6 +375,8 @@ class LakeTable:
             df = df.where(F.col("commit").between(state["live_from"], state["commit_id"]))
             if commits is not None:
                 df = df.where(F.col("commit").isin(commits))
+            elif not keyed and state["compacted"]:
+                df = df.where((F.col("commit") > state["folded_to"]) | F.col("commit").isin(list(state["compacted"])))
             partition = F.struct(*[F.col(p.name).cast("string").alias(p.name) for p in parts]) if parts else F.struct()
             if file_info:
                 df = df.select(
@@ -467,12 +482,14 @@ class LakeTable:
     def compact(self) -> int:
         """Fold changes into one row per key, only in key buckets that have changes.
 
-        Deleted keys stay as markers, so an older change that arrives late does not
+        A table without a key has its small files merged instead. Deleted keys stay as markers, so an older change that arrives late does not
         bring a row back.
         """
         state = self._state()
-        if not state["id_columns"] or not state["specs"]:
+        if not state["specs"]:
             return state["commit_id"]
+        if not state["id_columns"]:
+            return self._merge_small()
         raw, bucket = self._raw(), self._bucket(state["id_columns"])
         changed = self._fresh(raw).select(bucket.alias("kb")).distinct()
         buckets = sorted(r.kb for r in changed.collect())  # at most key_buckets numbers
@@ -486,6 +503,19 @@ class LakeTable:
         self._mark_spec(state)
         return self._commit(state, "compact", seen.get("rows") or 0)
 
+    def _merge_small(self) -> int:
+        """Rewrite the rows appended since the last compaction as one commit."""
+        state = self._state()
+        raw, new = self._raw(), state["commit_id"] + 1
+        fresh = raw.where((F.col("commit") > state["folded_to"]) & ~F.col("commit").isin(list(state["compacted"])))
+        rows = fresh.select(*[f"`{c}`" for c in self.schema.names])
+        if not parse_partition_by(list(state["partition_by"])):
+            rows = rows.hint("rebalance")
+        seen = self._write_files(rows, state, [])
+        state.update(folded_to=new, compacted=[*state["compacted"], new])
+        self._mark_spec(state)
+        return self._commit(state, "compact", seen.get("rows") or 0)
+
     def _stored(self, rows: DataFrame) -> DataFrame:
         return rows.select(*[f"`{c}`" for c in self.schema.names], "_op", "_ord")
 
@@ -499,7 +529,7 @@ class LakeTable:
         new = state["commit_id"] + 1
         state.update(id_columns=keys, spec_id=state["spec_id"] + 1)
         seen = self._write_files(self._stored(rows), state, [], self._bucket(keys))
-        state.update(live_from=new, folded_to=new, base_default=new, bucket_base={}, specs={})
+        state.update(live_from=new, folded_to=new, compacted=[], base_default=new, bucket_base={}, specs={})
         self._mark_spec(state)
         return self._commit(state, "set id.columns", seen.get("rows") or 0)
 
