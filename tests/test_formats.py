@@ -208,3 +208,26 @@ def test_required_null_is_refused(spark):
     schema = {"type": "record", "name": "R", "fields": [{"name": "x", "type": "long"}]}
     with pytest.raises(ValueError):
         avro._writer(schema, avro._Names(), "")(pa.array([{"x": None}], pa.struct([("x", pa.int64())])))
+
+
+def test_nested_versions(spark):
+    """Records inside arrays and maps gain fields and widen between versions."""
+
+    def schema(fields):
+        item = {"type": "record", "name": "Item", "fields": fields}
+        return {
+            "type": "record",
+            "name": "Box",
+            "fields": [{"name": "items", "type": {"type": "array", "items": item}}, {"name": "by_key", "type": {"type": "map", "values": ["null", "Item"]}}],
+        }
+
+    old = schema([{"name": "n", "type": "int"}])
+    new = schema([{"name": "n", "type": "long"}, {"name": "s", "type": ["null", "string"]}])
+    reg = registry_df(spark, [("b", 1, 1, "AVRO", old, []), ("b", 2, 2, "AVRO", new, [])])
+    a = spark.createDataFrame([([(1,), (2,)], {"k": (3,), "z": None})], avro.avro_to_struct(old))
+    b = spark.createDataFrame([([], {"k": (2**40, "x")})], avro.avro_to_struct(new))
+    got = avro.decode_avro(avro.encode_avro(a, 1, old).unionByName(avro.encode_avro(b, 2, new)), reg).select("value.*").collect()
+    first, second = sorted(got, key=lambda r: -len(r["items"]))
+    assert [tuple(x) for x in first["items"]] == [(1, None), (2, None)]
+    assert tuple(first.by_key["k"]) == (3, None) and first.by_key["z"] is None
+    assert second["items"] == [] and tuple(second.by_key["k"]) == (2**40, "x")

@@ -256,11 +256,12 @@ def gauge_range(
         df = df.where(F.col(ts) >= F.timestamp_micros(epoch_us(F.lit(start)) - F.lit(w)).cast(df.schema[ts].dataType))
     if end is not None:
         df = df.where(F.col(ts) < F.lit(end).cast(df.schema[ts].dataType))
+    panes = _samples(df, ts, value).groupBy(*SERIES, _slot(F.col("_t"), pane).alias("_p")).agg(F.max_by("_v", "_t").alias("_v"))
+    if w > pane:
+        # move each pane once and copy it to its windows afterwards
+        panes = panes.repartition(*SERIES)
     out = (
-        _samples(df, ts, value)
-        .groupBy(*SERIES, _slot(F.col("_t"), pane).alias("_p"))
-        .agg(F.max_by("_v", "_t").alias("_v"))
-        .withColumn("step", _window_ends(F.col("_p"), pane, w, s))
+        panes.withColumn("step", _window_ends(F.col("_p"), pane, w, s))
         .groupBy(*SERIES, "step")
         .agg(F.max_by("_v", "_p").alias("value"))
     )
