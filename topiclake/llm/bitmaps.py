@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 SEGMENT_BITS = 20
 #: Values a task gathers before it sends what it has.
 FLUSH_VALUES = 2_000_000
-SCHEMA = "segment int, once binary, often binary"
+SCHEMA = "segment int, places binary, counts binary"
 
 
 def slots(values: np.ndarray, bits: int) -> np.ndarray:
@@ -29,10 +29,9 @@ def _send(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     segment = found >> SEGMENT_BITS
     edges = np.flatnonzero(np.diff(segment)) + 1
     local = (found & ((1 << SEGMENT_BITS) - 1)).astype(np.uint32)
-    rows = []
-    for s, once, n in zip(segment[np.r_[0, edges]], np.split(local, edges), np.split(counts, edges)):
-        rows.append((int(s), once.tobytes(), once[n > 1].tobytes()))
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["segment", "once", "often"])
+    counts = np.minimum(counts, 255).astype(np.uint8)
+    rows = [(int(s), p.tobytes(), n.tobytes()) for s, p, n in zip(segment[np.r_[0, edges]], np.split(local, edges), np.split(counts, edges))]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["segment", "places", "counts"])
 
 
 def gather(owned: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
@@ -49,25 +48,27 @@ def gather(owned: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
         yield from _send(parts)
 
 
-def build(gathered: DataFrame, bits: int, owners: int) -> Broadcast:
-    """A bitmap of the slots that at least ``owners`` (1 or 2) owners use, from rows made by ``gather``.
+def build(gathered: DataFrame, bits: int, *owners: int) -> list[Broadcast]:
+    """For each number (up to 255) a bitmap of the slots that so many owners use at least, from rows made by ``gather``.
 
-    Each segment is made by one task; the driver only joins the segments, ``2**bits / 8`` bytes in all.
+    Each segment is made by one task; the driver only joins the segments, ``2**bits / 8`` bytes a bitmap.
     """
 
     def merge(group: pa.Table) -> pa.Table:
-        count = np.zeros(1 << SEGMENT_BITS, np.uint8)
-        for name in ("once", "often"):
-            for blob in group.column(name).to_pylist():
-                at = np.frombuffer(blob, np.uint32)
-                count[at] = np.minimum(count[at] + 1, 2)
-        return pa.table({"segment": group.column("segment")[:1], "bitmap": pa.array([np.packbits(count >= owners).tobytes()], pa.binary())})
-
-    whole = np.zeros(1 << (bits - 3), np.uint8)
+        total = np.zeros(1 << SEGMENT_BITS, np.uint16)
+        for places, counts in zip(group.column("places").to_pylist(), group.column("counts").to_pylist()):
+            at = np.frombuffer(places, np.uint32)
+            total[at] = np.minimum(total[at] + np.frombuffer(counts, np.uint8), 255)
+        maps = {f"m{i}": pa.array([np.packbits(total >= n).tobytes()], pa.binary()) for i, n in enumerate(owners)}
+        return pa.table({"segment": group.column("segment")[:1]} | maps)
+
+    whole = [np.zeros(1 << (bits - 3), np.uint8) for _ in owners]
     size = 1 << (SEGMENT_BITS - 3)
-    for row in gathered.groupBy("segment").applyInArrow(merge, "segment int, bitmap binary").toLocalIterator():
-        whole[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["bitmap"], np.uint8)
-    return gathered.sparkSession.sparkContext.broadcast(whole)
+    schema = ", ".join(["segment int", *(f"m{i} binary" for i in range(len(owners)))])
+    for row in gathered.groupBy("segment").applyInArrow(merge, schema).toLocalIterator():
+        for i, bitmap in enumerate(whole):
+            bitmap[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row[f"m{i}"], np.uint8)
+    return [gathered.sparkSession.sparkContext.broadcast(bitmap) for bitmap in whole]
 
 
 def hits(bitmap: Broadcast, values: np.ndarray) -> np.ndarray:

@@ -207,7 +207,7 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
         yield from bitmaps.gather(own, SHARED_BITS)
 
     groups = cut(groups)
-    shared = bitmaps.build(groups.select("prefix").mapInArrow(gather, bitmaps.SCHEMA), SHARED_BITS, 2)
+    [shared] = bitmaps.build(groups.select("prefix").mapInArrow(gather, bitmaps.SCHEMA), SHARED_BITS, 2)
 
     def post(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow:
@@ -245,7 +245,7 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
     def mark(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from bitmaps.gather((np.asarray(b.column(0), np.int64) for b in arrow), MEMBER_BITS)
 
-    wanted = bitmaps.build(wanted.mapInArrow(mark, bitmaps.SCHEMA), MEMBER_BITS, 1)
+    [wanted] = bitmaps.build(wanted.mapInArrow(mark, bitmaps.SCHEMA), MEMBER_BITS, 1)
 
     def reread(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow, 1024):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.llm import bpe, language, ngram_join, packing, quality
+from topiclake.llm import bpe, language, ngram_join, packing, quality, suffix_dedup
 from topiclake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+@_query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"), 50)
+
+
 @_query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = quality.measure(table(spark, sf_dir, "documents"))
