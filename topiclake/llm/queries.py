@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.llm import bpe, language, ngram_join, packing, quality, suffix_dedup
+from topiclake.llm import bpe, language, neighbours, ngram_join, packing, quality, suffix_dedup, toxicity
 from topiclake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,7 +48,20 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"), 50)
 
 
+@_query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @_query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = quality.measure(table(spark, sf_dir, "documents"))
     return verdict.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learned = ~held_out(F.col("doc_id"))
+    docs, labels = table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    model = toxicity.train(docs.where(learned), labels.where(learned))
+    return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
