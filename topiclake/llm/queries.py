@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.llm import bpe, language, neighbours, ngram_join, packing, quality, suffix_dedup, toxicity
+from topiclake.llm import bpe, language, neighbours, ngram_join, packing, quality, secrets, suffix_dedup, toxicity, wrappers
 from topiclake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,12 @@ def _query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
     return function
 
 
+@_query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "path", "start", F.length("value").alias("length"), F.sha2("value", 256).alias("value_sha256"), "score", "secret")
+
+
 @_query
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -59,6 +65,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@_query
+def op9_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 @_query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = ~held_out(F.col("doc_id"))
