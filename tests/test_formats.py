@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.fixtures import KINDS, ORDER_V1, ORDER_V2, product_files, product_registry, registry_df
+from tests.fixtures import KINDS, LINE_V1, LINE_V2, registry_df, supplier_files, supplier_registry
 from topiclake.formats import avro, protobuf, registry, wire
 from topiclake.session import shared_dir
 from topiclake.table import LakeTable
@@ -14,23 +14,22 @@ from topiclake.table import LakeTable
 UTC = dt.timezone.utc
 
 
-def order_row(i):
+def line_row(i):
     return (
-        i, f"p{i}", 1000 + i / 100, i, i % 2 == 0, b"", dt.datetime(2023, 11, 14, 22, 13, 20 + i), dt.datetime(2024, 1, 1, 0, 0, 0, i),
-        {"street": f"s{i}", "city": "c"}, "SHIPPED", [f"t{i}", "x"], {f"k{i}": "v"},
+        i, dt.datetime(1995, 3, 14, 22, 13, 20 + i), "N", i, i % 2 == 0, dt.datetime(1998, 1, 1, 0, 0, 0, i), {f"k{i}": "v"}, 900 + i / 100,
+        {"p_name": f"s{i}", "p_brand": "Brand#1"}, b"", [f"t{i}", "x"], f"mode {i}",
     )
 
 
-def order_df(spark, n=10):
-    schema = avro.avro_to_struct(ORDER_V1)
-    return spark.createDataFrame([order_row(i) for i in range(n)], schema)
+def line_df(spark, n=10):
+    return spark.createDataFrame([line_row(i) for i in range(n)], avro.avro_to_struct(LINE_V1))
 
 
 def test_avro_types():
-    s = avro.avro_to_struct(ORDER_V1)
-    assert s["shipping_address"].dataType.names == ["street", "city"]
-    assert s["order_date"].dataType == T.TimestampType()
-    assert not s["order_id"].nullable
+    s = avro.avro_to_struct(LINE_V1)
+    assert s["part"].dataType.names == ["p_name", "p_brand"]
+    assert s["l_shipdate"].dataType == T.TimestampType()
+    assert not s["l_orderkey"].nullable
     k = avro.avro_to_struct(KINDS)
     assert k["by_id"].dataType == T.MapType(T.IntegerType(), T.StringType(), k["by_id"].dataType.valueContainsNull)
     assert k["amount"].dataType == T.DecimalType(10, 2)
@@ -43,28 +42,28 @@ def test_avro_types():
 
 
 def test_avro_round_trip_and_versions(spark):
-    reg = registry_df(spark, [("o-value", 1, 7, "AVRO", ORDER_V1, []), ("o-value", 2, 9, "AVRO", ORDER_V2, [])])
-    v1 = avro.encode_avro(order_df(spark), 7, ORDER_V1, keep=["order_id"])
-    v2_rows = order_df(spark, 3).withColumns(
+    reg = registry_df(spark, [("l-value", 1, 7, "AVRO", LINE_V1, []), ("l-value", 2, 9, "AVRO", LINE_V2, [])])
+    v1 = avro.encode_avro(line_df(spark), 7, LINE_V1, keep=["l_orderkey"])
+    v2_rows = line_df(spark, 3).withColumns(
         {
-            "total_amount": F.lit(5.5),
-            "notes": F.lit(None).cast("string"),
-            "related_order_ids": F.array(F.lit(1), F.lit(300)).cast("array<bigint>"),
-            "billing_address": F.col("shipping_address"),
+            "substitute": F.col("part"),
+            "l_tax": F.lit(0.5),
+            "sibling_lines": F.array(F.lit(1), F.lit(300)).cast("array<bigint>"),
+            "l_comment": F.lit(None).cast("string"),
         }
     )
-    v2 = avro.encode_avro(v2_rows, 9, ORDER_V2, keep=["order_id"])
-    bad = spark.createDataFrame([(99, bytearray(b"\x00\x00\x00\x00\x07\xff")), (98, bytearray(b"xx"))], "order_id bigint, value binary")
+    v2 = avro.encode_avro(v2_rows, 9, LINE_V2, keep=["l_orderkey"])
+    bad = spark.createDataFrame([(99, bytearray(b"\x00\x00\x00\x00\x07\xff")), (98, bytearray(b"xx"))], "l_orderkey bigint, value binary")
     got = avro.decode_avro(v1.unionByName(v2).unionByName(bad), reg)
-    out = {(r.order_id, r.value is not None and r.value.total_amount): r.value for r in got.collect()}
+    out = {(r.l_orderkey, r.value is not None and r.value.l_tax): r.value for r in got.collect()}
     assert len(out) == 15
     assert out[(99, False)] is None and out[(98, False)] is None
     first = out[(4, None)]
-    assert first.product_name == "p4" and first.product_tags == ["t4", "x"] and first.custom_attributes == {"k4": "v"}
-    assert first.order_date == dt.datetime(2023, 11, 14, 22, 13, 24) and first.created_at.microsecond == 4
-    assert first.total_amount is None  # defaults are not filled in
-    second = out[(2, 5.5)]
-    assert second.related_order_ids == [1, 300] and second.billing_address.street == "s2" and second.notes is None
+    assert first.l_shipmode == "mode 4" and first.remarks == ["t4", "x"] and first.mode_share == {"k4": "v"}
+    assert first.l_shipdate == dt.datetime(1995, 3, 14, 22, 13, 24) and first.seen_at.microsecond == 4
+    assert first.l_tax is None  # defaults are not filled in
+    second = out[(2, 0.5)]
+    assert second.sibling_lines == [1, 300] and second.substitute.p_name == "s2" and second.l_comment is None
 
 
 def test_avro_all_kinds(spark):
@@ -104,43 +103,42 @@ def test_registry_versions_and_references(spark):
 
 
 def test_protobuf_round_trip(spark):
-    reg = product_registry(spark)
-    d = protobuf.message_descriptor([protobuf.file_text(f) for f in product_files()], "shop.Product")
+    reg = supplier_registry(spark)
+    d = protobuf.message_descriptor([protobuf.file_text(f) for f in supplier_files()], "tests.supply.Supplier")
     s = protobuf.proto_to_struct(d)
-    assert "seller_info_choice" in s.names and "_manufacturer_choice" not in s.names
-    assert s["extra"].dataType.valueType.names == ["bool_value", "int_value", "string_value", "kind_choice"]
-    assert s["manufacturer"].nullable and not s["product_id"].nullable
+    assert "contact_choice" in s.names and "_s_comment_choice" not in s.names
+    assert sorted(s["measures"].dataType.valueType.names) == ["as_count", "as_flag", "as_text", "measured_choice"]
+    assert s["s_comment"].nullable and not s["s_suppkey"].nullable
     rows = [
         {
-            "product_id": f"p{i}", "price": i / 2, "view_count": -1 if i == 1 else i, "sku_hash": -2 if i == 1 else i, "image": b"\x00",
-            "status": "ACTIVE", "tags": [], "created_at": dt.datetime(2024, 1, 1, 0, 0, i, 5), "manufacturer": None if i else "m",
-            "seller_name": "s" if i == 0 else None, "seller_id": 4 if i == 1 else None,
-            "warehouse": {"street": "w", "postal_code": 1, "country": None}, "origins": [{"street": "o", "postal_code": 2, "country": "DE"}],
-            "prices": {"x": 2**40}, "extra": {"a": {"int_value": 3}, "b": {"bool_value": False}},
+            "rating": "PREFERRED", "s_acctbal": i / 2, "s_suppkey": f"s{i}", "nation": {"n_nationkey": 1, "n_comment": None, "n_name": "PERU"},
+            "by_phone": "1-2" if i == 0 else None, "by_desk": 4 if i == 1 else None, "part_names": [], "row_mark": -2 if i == 1 else i,
+            "stock": {"x": 2**40}, "s_comment": None if i else "m", "deliveries": -1 if i == 1 else i,
+            "branches": [{"n_nationkey": 2, "n_comment": "DE", "n_name": "o"}], "stamp": b"\x00",
+            "measures": {"a": {"as_count": 3}, "b": {"as_flag": False}}, "joined_at": dt.datetime(1996, 1, 1, 0, 0, i, 5),
         }
         for i in range(3)
     ]
     df = spark.createDataFrame(rows, protobuf.as_nullable(s))
-    wire_df = protobuf.encode_protobuf(df, reg, "shop.Product", keep=["product_id"])
-    bad = spark.createDataFrame([("bad", bytearray(b"\xff\xff"))], "product_id string, value binary")
-    got = {r.product_id: r.value for r in protobuf.decode_protobuf(wire_df.unionByName(bad), reg, "shop.Product").collect()}
+    wire_df = protobuf.encode_protobuf(df, reg, "tests.supply.Supplier", keep=["s_suppkey"])
+    bad = spark.createDataFrame([("bad", bytearray(b"\xff\xff"))], "s_suppkey string, value binary")
+    got = {r.s_suppkey: r.value for r in protobuf.decode_protobuf(wire_df.unionByName(bad), reg, "tests.supply.Supplier").collect()}
     assert got["bad"] is None
-    assert got["p1"].view_count == -1 and got["p1"].sku_hash == -2  # bits kept
-    assert [got[f"p{i}"].seller_info_choice for i in range(3)] == ["seller_name", "seller_id", None]
-    assert got["p0"].manufacturer == "m" and got["p1"].manufacturer is None
-    assert got["p2"].created_at == dt.datetime(2024, 1, 1, 0, 0, 2, 5)
-    assert got["p2"].status == "ACTIVE" and got["p2"].tags == [] and got["p2"].prices == {"x": 2**40}
-    assert got["p2"].origins[0].country == "DE" and got["p2"].warehouse.country is None
-    assert got["p2"].extra["a"].kind_choice == "int_value" and got["p2"].extra["b"].bool_value is False
+    assert got["s1"].deliveries == -1 and got["s1"].row_mark == -2  # bits kept
+    assert [got[f"s{i}"].contact_choice for i in range(3)] == ["by_phone", "by_desk", None]
+    assert got["s0"].s_comment == "m" and got["s1"].s_comment is None
+    assert got["s2"].joined_at == dt.datetime(1996, 1, 1, 0, 0, 2, 5)
+    assert got["s2"].rating == "PREFERRED" and got["s2"].part_names == [] and got["s2"].stock == {"x": 2**40}
+    assert got["s2"].branches[0].n_comment == "DE" and got["s2"].nation.n_comment is None
+    assert got["s2"].measures["a"].measured_choice == "as_count" and got["s2"].measures["b"].as_flag is False
 
 
 def test_protobuf_recursion_is_refused():
-    _, product = product_files()
-    m = product.message_type.add(name="Node")
+    places, supply = supplier_files()
+    m = supply.message_type.add(name="Chain")
     f = m.field.add(name="next", number=1, label=1)
-    f.type, f.type_name = 11, ".shop.Node"
-    common, _ = product_files()
-    d = protobuf.message_descriptor([protobuf.file_text(common), protobuf.file_text(product)], "shop.Node")
+    f.type, f.type_name = 11, ".tests.supply.Chain"
+    d = protobuf.message_descriptor([protobuf.file_text(places), protobuf.file_text(supply)], "tests.supply.Chain")
     with pytest.raises(ValueError):
         protobuf.proto_to_struct(d)
 

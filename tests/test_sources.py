@@ -5,10 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import KINDS, ORDER_V1
 from topiclake.operators import projection as P
 from topiclake.operators.messaging import batch_stats, consume_rate, delivery_metrics, reconcile
-from topiclake.sources import archives, exposition, generators, topics
+from topiclake.sources import archives, exposition, topics
 
 
 def test_hourly_archives(spark, tmp_path):
@@ -88,23 +87,6 @@ def test_exposition(spark):
     }
 
 
-def test_generators(spark):
-    rows = generators.generate_records(spark, ORDER_V1, 10, {"product_name": "order-{i}"}).collect()
-    r = rows[2]
-    assert len(rows) == 10 and r.order_id == 3 and r.product_name == "order-3" and r.price == 1000.03 and r.is_paid is False
-    assert r.order_date == dt.datetime(2023, 11, 14, 22, 13, 23) and r.created_at == dt.datetime(1970, 1, 1, 0, 0, 0, 3)
-    assert r.order_status == "PENDING" and r.shipping_address.street.startswith("str_3_") and len(r.shipping_address.street) == 12
-    assert r.product_tags[0].startswith("str_4_") and list(r.custom_attributes) == ["k3"]
-    kinds = generators.generate_records(spark, KINDS, 2).collect()[1]
-    assert kinds.tm == dt.time(0, 0, 0, 2000) and kinds.d == dt.date(1970, 1, 3) and kinds.f == pytest.approx(100.2)
-    t = generators.generate_telemetry(spark, 20)
-    speed = F.get_json_object("value", "$.speed").cast("double")
-    assert t.where((speed >= 0) & (speed <= 220)).count() == 20
-    o = generators.generate_order_events(spark, 4).collect()[3]
-    assert (o.customer_id, o.item, o.quantity, o.price) == ("customer-0", "item-3", 4, 40.0)
-    assert [r.page_url for r in generators.generate_page_views(spark).collect()][14] == "https://example.com/page/14"
-
-
 def test_browse_and_mask(spark):
     df = spark.range(40).select(
         F.lit("t").alias("topic"), (F.col("id") % 2).cast("int").alias("partition"), F.col("id").alias("offset"),

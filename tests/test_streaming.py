@@ -2,12 +2,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tests.fixtures import ORDER_V1, product_registry, registry_df
-from tests.test_formats import order_df
+from tests.fixtures import LINE_V1, registry_df, supplier_registry
+from tests.test_formats import line_df
 from topiclake.formats.avro import encode_avro
 from topiclake.formats.protobuf import encode_protobuf
 from topiclake.session import shared_dir
-from topiclake.sources import generators, topics
+from topiclake.sources import topics
 from topiclake.streaming import jobs
 from topiclake.table import LakeTable
 
@@ -40,28 +40,28 @@ def test_transactions_are_seen_after_commit_only(spark):
 
 def test_avro_topic_to_partitioned_table_and_restart(spark):
     log, ckpt = shared_dir(spark, "log"), shared_dir(spark, "ckpt")
-    reg = registry_df(spark, [("orders-value", 1, 3, "AVRO", ORDER_V1, [])])
-    table = LakeTable(spark, shared_dir(spark, "orders"))
-    options = {"convert.value.type": "by_schema_id", "transform.value.type": "flatten", "partition.by": "[month(order_date)]"}
+    reg = registry_df(spark, [("lines-value", 1, 3, "AVRO", LINE_V1, [])])
+    table = LakeTable(spark, shared_dir(spark, "lines"))
+    options = {"convert.value.type": "by_schema_id", "transform.value.type": "flatten", "partition.by": "[month(l_shipdate)]"}
 
     def ingest():
-        source = topics.read_topic_stream(spark, log, "orders", max_per_batch=2)
-        run(jobs.ingest_topic(spark, source, table, options, ckpt, reg, "orders", once=True))
+        source = topics.read_topic_stream(spark, log, "lines", max_per_batch=2)
+        run(jobs.ingest_topic(spark, source, table, options, ckpt, reg, "lines", once=True))
 
-    messages = encode_avro(order_df(spark), 3, ORDER_V1, keep=["order_id"])
-    topics.write_topic(messages, log, "orders", "order_id", "value")
-    broken = spark.createDataFrame([(5, bytearray(b"??"))], "order_id bigint, value binary")
-    topics.write_topic(broken, log, "orders", "order_id", "value")
+    messages = encode_avro(line_df(spark), 3, LINE_V1, keep=["l_orderkey"])
+    topics.write_topic(messages, log, "lines", "l_orderkey", "value")
+    broken = spark.createDataFrame([(5, bytearray(b"??"))], "l_orderkey bigint, value binary")
+    topics.write_topic(broken, log, "lines", "l_orderkey", "value")
     ingest()
     assert table.read().count() == 10
     commits = table.refresh().commits().count()
     ingest()  # restart on the same checkpoint
     assert table.refresh().commits().count() == commits and table.read().count() == 10
-    topics.write_topic(messages, log, "orders", "order_id", "value")
+    topics.write_topic(messages, log, "lines", "l_orderkey", "value")
     ingest()
     assert table.refresh().read().count() == 20
-    assert table.read(["product_name", "shipping_address"]).where("shipping_address.street = 's3'").count() == 2
-    delay = table.ingest_delay().where("topic = 'orders'").collect()
+    assert table.read(["l_shipmode", "part"]).where("part.p_name = 's3'").count() == 2
+    delay = table.ingest_delay().where("topic = 'lines'").collect()
     assert delay and all(d.delay_ms >= 0 for d in delay)
     rate = table.fields_per_second(1000).agg(F.sum("fields_per_second")).first()[0]
     assert rate == 20 * 12
@@ -69,26 +69,32 @@ def test_avro_topic_to_partitioned_table_and_restart(spark):
 
 def test_protobuf_topic_upsert(spark):
     log = shared_dir(spark, "log")
-    reg = product_registry(spark)
-    rows = spark.createDataFrame([("p1", 1.0), ("p2", 2.0)], "product_id string, price double")
-    later = spark.createDataFrame([("p1", 9.0)], "product_id string, price double")
+    reg = supplier_registry(spark)
+    rows = spark.createDataFrame([("p1", 1.0), ("p2", 2.0)], "s_suppkey string, s_acctbal double")
+    later = spark.createDataFrame([("p1", 9.0)], "s_suppkey string, s_acctbal double")
     for i, df in enumerate((rows, later)):
-        m = encode_protobuf(df, reg, "shop.Product", keep=["product_id"])
-        topics.write_topic(m, log, "p", "product_id", "value", timestamp=F.timestamp_seconds(F.lit(100 + i)))
-    table = LakeTable(spark, shared_dir(spark, "products"))
+        m = encode_protobuf(df, reg, "tests.supply.Supplier", keep=["s_suppkey"])
+        topics.write_topic(m, log, "p", "s_suppkey", "value", timestamp=F.timestamp_seconds(F.lit(100 + i)))
+    table = LakeTable(spark, shared_dir(spark, "suppliers"))
     options = {
-        "convert.value.type": "by_latest_schema", "message.full.name": "shop.Product", "transform.value.type": "flatten",
-        "upsert.enable": True, "id.columns": "[product_id]",
+        "convert.value.type": "by_latest_schema", "message.full.name": "tests.supply.Supplier", "transform.value.type": "flatten",
+        "upsert.enable": True, "id.columns": "[s_suppkey]",
     }
     source = topics.read_topic_stream(spark, log, "p")
     run(jobs.ingest_topic(spark, source, table, options, shared_dir(spark, "ckpt"), reg, "p", once=True))
-    assert {r.product_id: r.price for r in table.read().collect()} == {"p1": 9.0, "p2": 2.0}
+    assert {r.s_suppkey: r.s_acctbal for r in table.read().collect()} == {"p1": 9.0, "p2": 2.0}
+
+
+def telemetry(spark, n):
+    """Vehicle messages over the rows of a range."""
+    body = F.to_json(F.struct(F.concat(F.lit("card"), "id").alias("iccid"), (F.col("id") % 90 + 0.5).alias("speed"), (F.col("id") % 7).cast("int").alias("request"), (F.col("id") % 5).cast("int").alias("response")))
+    return spark.range(n).select(F.concat(F.lit("vin"), "id").alias("key"), body.alias("value"), F.timestamp_seconds(F.col("id") + 1_600_000_000).alias("timestamp"))
 
 
 def test_telemetry_pipeline(spark):
     source, target = LakeTable(spark, shared_dir(spark, "src")), LakeTable(spark, shared_dir(spark, "dst"))
     ckpt = shared_dir(spark, "ckpt")
-    good = generators.generate_telemetry(spark, 50)
+    good = telemetry(spark, 50)
     bad = good.limit(2).withColumn("value", F.lit("{broken"))
     partial = good.limit(1).withColumn("value", F.lit('{"iccid":"x"}'))
     source.append(good)
@@ -120,7 +126,7 @@ def test_raw_and_json_topics(spark):
 
 def test_live_counts_and_latency(spark):
     path = shared_dir(spark, "events")
-    generators.generate_order_events(spark, 30).withColumn("timestamp", F.current_timestamp()).write.parquet(path)
+    spark.range(30).select(F.concat(F.lit("customer-"), F.col("id") % 3).alias("customer_id"), F.current_timestamp().alias("timestamp")).write.parquet(path)
     schema = spark.read.parquet(path).schema
     stream = jobs.read_table_stream(spark, path, schema)
     q = jobs.live_counts(stream, ["customer_id"]).writeStream.format("memory").queryName("live").outputMode("complete").trigger(availableNow=True).start()

@@ -291,16 +291,16 @@ def unsigned_numbers(spark, sf_dir):
 
 @query(
     "oneof_choice",
-    """SELECT event_id, CASE WHEN event_type = 'click' THEN 'seller_name' WHEN event_type = 'view' THEN 'seller_id' END AS seller_info_choice
+    """SELECT event_id, CASE WHEN event_type = 'click' THEN 'by_props' WHEN event_type = 'view' THEN 'by_user' END AS source_choice
        FROM events""",
 )
 def oneof_choice(spark, sf_dir):
     branches = load(spark, sf_dir, "events").select(
         "event_id",
-        F.when(F.col("event_type") == "click", F.col("props")).alias("seller_name"),
-        F.when(F.col("event_type") == "view", F.col("user_id")).alias("seller_id"),
+        F.when(F.col("event_type") == "click", F.col("props")).alias("by_props"),
+        F.when(F.col("event_type") == "view", F.col("user_id")).alias("by_user"),
     )
-    return P.with_choice(branches, "seller_info", ["seller_name", "seller_id"]).select("event_id", "seller_info_choice")
+    return P.with_choice(branches, "source", ["by_props", "by_user"]).select("event_id", "source_choice")
 
 
 # ---- archives
