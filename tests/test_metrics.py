@@ -29,8 +29,8 @@ def reference_rate(points, w, s):
         deltas[t] = 0.0 if prev is None else v - prev[1] if v >= prev[1] else v
     epoch = START.replace(tzinfo=dt.timezone.utc).timestamp()
     out = {}
-    for k in range(math.floor((epoch - w) / s), math.floor((epoch + points[-1][0]) / s) + 1):
-        lo, hi = k * s - epoch, k * s + w - epoch
+    for k in range(math.floor((epoch - w) / s), math.floor((epoch + points[-1][0] + w) / s) + 1):
+        lo, hi = k * s - w - epoch, k * s - epoch
         inside = [t for t, _ in points if lo <= t < hi]
         if len(inside) >= 2:
             out[hi] = sum(deltas[t] for t in inside[1:]) / (inside[-1] - inside[0])
@@ -71,7 +71,25 @@ def test_rate_edge_cases(spark):
     got = {r.series_key: r.value for r in M.rate(df, "1m", "1m").collect()}
     assert got == {'{"k":"reset"}': 6 / 20, '{"k":"twice"}': 3 / 10}
     with pytest.raises(ValueError):
-        M.rate(df, "30d", "1s")
+        M.rate(df, "0s", "1s")
+
+
+def test_long_windows_on_a_fine_grid(spark):
+    """Window / step far above a thousand; ends count from a start where there is one."""
+    rng = random.Random(8)
+    points, v = [], 0.0
+    for i in range(40):
+        v += rng.random()
+        points.append((i * 1800.0 + rng.choice([0, 7, 20]), v))
+    df = samples(spark, [("m", {"s": "a"}, t, v) for t, v in points])
+    got = {(r.step - START).total_seconds(): r.value for r in M.rate(df, "12h", "10s").collect()}
+    want = reference_rate(points, 12 * 3600, 10)
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    bounded = {(r.step - START).total_seconds() for r in M.rate(df, "2h", "1h", start=at(5400), end=at(5400 + 7200)).collect()}
+    assert bounded == {5400.0, 9000.0, 12600.0}
+    gauge = {(r.step - START).total_seconds(): r.value for r in M.gauge_range(df, "1h", "30m", at(3600), at(7200)).collect()}
+    newest = {e: max((t, v) for t, v in points if e - 1800 < t <= e)[1] for e in (3600, 7200)}
+    assert gauge == newest  # a sample at the end itself counts
 
 
 def test_hot_series_is_spread_over_tasks(spark):

@@ -3,8 +3,10 @@
 A samples table has ``metric string, labels map<string,string>, ts timestamp,
 value double``; a stored ``series_key`` column saves computing it. Every range
 function returns ``metric, series_key, step, value`` and every label
-aggregation returns ``step``, the label columns and ``value``, where ``step``
-is the end of the window (exclusive).
+aggregation returns ``step``, the label columns and ``value``. A ``step`` is
+``start + k * step``, or a multiple of the step where no start is given, for
+every function and window. Growth covers ``[step - window, step)``; a gauge is
+its newest sample in ``(step - lookback, step]``.
 
 Range functions never hold a whole series in one task. Samples are grouped into
 short time chunks per series, each chunk becomes one summary row, and only
@@ -23,7 +25,6 @@ from topiclake.functions.scalars import anchored, epoch_us
 
 SERIES = ["metric", "series_key"]
 LABELS_TYPE = "map<string,string>"
-MAX_WINDOW_RATIO = 1000
 
 
 def series_key(labels: Column | str = "labels") -> Column:
@@ -93,8 +94,6 @@ def _grid(window: str, step: str) -> tuple[int, int, int]:
     w, s = duration_us(window), duration_us(step)
     if w <= 0 or s <= 0:
         raise ValueError("window and step must be positive")
-    if w // s > MAX_WINDOW_RATIO:
-        raise ValueError(f"window / step above {MAX_WINDOW_RATIO}: every pane would be copied that often")
     return w, s, math.gcd(w, s)
 
 
@@ -109,14 +108,48 @@ def _slot(t: Column, size: int) -> Column:
     return F.call_function("div", t - F.pmod(t, F.lit(size)), F.lit(size))
 
 
-def _window_ends(slot: Column, pane: int, w: int, s: int) -> Column:
-    """Ends of the windows ``[k*s, k*s + w)`` that cover the pane ``slot``."""
-    start = slot * F.lit(pane)
-    first = _slot(start + F.lit(pane - w + s - 1), s)
-    last = _slot(start, s)
-    # window / step below 1 leaves gaps that belong to no window
-    ends = F.transform(F.sequence(first, last), lambda k: F.timestamp_micros(k * F.lit(s) + F.lit(w)))
-    return F.explode(F.when(first <= last, ends))
+def _ends(low: Column, high: Column, s: int) -> Column:
+    """Multiples of ``s`` from ``low`` to ``high``, one row each."""
+    first, last = _slot(low + F.lit(s - 1), s), _slot(high, s)
+    return F.explode(F.when(first <= last, F.transform(F.sequence(first, last), lambda k: k * F.lit(s))))
+
+
+def _last_pane(panes: DataFrame, columns: list[str], pane: int, w: int, s: int) -> DataFrame:
+    """For each end on the grid the newest pane of its window: ``_e`` and ``columns``.
+
+    A pane answers for the ends from its own up to the next pane, so each end is made once however many panes its
+    window spans. The panes are dealt anew first, for the ends of one series are many.
+    """
+    along = Window.partitionBy(*SERIES).orderBy("_p")
+    rows = panes.withColumn("_next", F.lead("_p").over(along)).repartition(*SERIES, "_p")
+    high = F.least(F.col("_next") * F.lit(pane), F.col("_p") * F.lit(pane) + F.lit(w))
+    return rows.select(*SERIES, *columns, _ends((F.col("_p") + 1) * F.lit(pane), high, s).alias("_e"))
+
+
+def _first_pane(panes: DataFrame, columns: list[str], pane: int, w: int, s: int) -> DataFrame:
+    """For each end on the grid the oldest pane of its window."""
+    along = Window.partitionBy(*SERIES).orderBy("_p")
+    rows = panes.withColumn("_before", F.lag("_p").over(along)).repartition(*SERIES, "_p")
+    low = F.greatest((F.col("_p") + 1) * F.lit(pane), (F.col("_before") + 1) * F.lit(pane) + F.lit(w))
+    return rows.select(*SERIES, *columns, _ends(low, F.col("_p") * F.lit(pane) + F.lit(w), s).alias("_e"))
+
+
+def _bounds(df: DataFrame, ts: str, start, end, w: int) -> tuple[DataFrame, Column]:
+    """The samples that a grid from ``start`` to ``end`` can need, and its origin in microseconds."""
+    if start is not None:
+        df = df.where(F.col(ts) >= F.timestamp_micros(epoch_us(F.lit(start).cast("timestamp")) - F.lit(w)).cast(df.schema[ts].dataType))
+    if end is not None:
+        df = df.where(F.col(ts) <= F.lit(end).cast(df.schema[ts].dataType))
+    return df, F.lit(0) if start is None else epoch_us(F.lit(start).cast("timestamp"))
+
+
+def _on_grid(out: DataFrame, origin: Column, start, end) -> DataFrame:
+    out = out.withColumn("step", F.timestamp_micros(F.col("_e") + origin))
+    if start is not None:
+        out = out.where(F.col("step") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        out = out.where(F.col("step") <= F.lit(end).cast("timestamp"))
+    return out.select(*SERIES, "step", "value")
 
 
 def _samples(df: DataFrame, ts: str, value: str) -> DataFrame:
@@ -179,16 +212,23 @@ def rate(
     ts: str = "ts",
     value: str = "value",
     chunk: str | None = None,
+    start=None,
+    end=None,
 ) -> DataFrame:
     """Per-second growth of counters over trailing windows, aware of resets.
 
     Windows are ``[end - window, end)``. At least two samples are needed; the
     growth between the first and the last of them is divided by their distance.
-    There is no extrapolation to the window edges.
+    There is no extrapolation to the window edges. ``start`` and ``end`` bound
+    the grid (both inclusive), and its ends then count from ``start``.
+
+    Growth runs along the panes of a series, so a window is the difference of
+    two running totals, however long it is and however small the step.
     """
     w, s, pane = _grid(window, step)
     size = _chunk(pane, chunk)
-    rows = _samples(df, ts, value).withColumn("_c", _slot(F.col("_t"), size))
+    df, origin = _bounds(df, ts, start, end, w)
+    rows = _samples(df, ts, value).withColumn("_t", F.col("_t") - origin).withColumn("_c", _slot(F.col("_t"), size))
 
     # 1. within a chunk: growth between neighbours, one shuffle of the raw rows
     inside = Window.partitionBy(*SERIES, "_c").orderBy("_t", "_v")
@@ -224,18 +264,18 @@ def rate(
         )
     )
 
-    # 3. panes to overlapping windows
-    seconds = (F.max("_t1") - F.min("_t0")) / F.lit(1e6)
-    return (
-        panes.withColumn("step", _window_ends(F.col("_p"), pane, w, s))
-        .groupBy(*SERIES, "step")
-        .agg(
-            F.sum("_n").alias("_n"),
-            F.try_divide(F.sum("_sum") - F.min_by("_lead", "_p"), seconds).alias("value"),
-        )
-        .where(F.col("_n") >= 2)
-        .select(*SERIES, "step", "value")
-    )
+    # 3. running totals along the panes; a window lies between its oldest and its newest pane
+    upto = Window.partitionBy(*SERIES).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
+    total, count = F.sum("_sum").over(upto), F.sum("_n").over(upto)
+    panes = panes.select(
+        *SERIES, "_p", "_t0", "_t1", total.alias("_at_end"), (total - F.col("_sum") + F.col("_lead")).alias("_at_start"),
+        count.alias("_n_end"), (count - F.col("_n")).alias("_n_start"),
+    )
+    newest = _last_pane(panes, ["_t1", "_at_end", "_n_end"], pane, w, s)
+    oldest = _first_pane(panes, ["_t0", "_at_start", "_n_start"], pane, w, s)
+    seconds = (F.col("_t1") - F.col("_t0")) / F.lit(1e6)
+    out = newest.join(oldest, [*SERIES, "_e"]).where(F.col("_n_end") - F.col("_n_start") >= 2)
+    return _on_grid(out.withColumn("value", F.try_divide(F.col("_at_end") - F.col("_at_start"), seconds)), origin, start, end)
 
 
 def gauge_range(
@@ -247,29 +287,16 @@ def gauge_range(
     ts: str = "ts",
     value: str = "value",
 ) -> DataFrame:
-    """Newest sample per series in ``[step - lookback, step)`` on a step grid.
+    """Newest sample per series in ``(step - lookback, step]`` on a step grid.
 
-    ``start`` and ``end`` bound the grid (both inclusive) and prune the samples.
+    ``start`` and ``end`` bound the grid (both inclusive), prune the samples, and ends count from ``start``.
     """
     w, s, pane = _grid(lookback, step)
-    if start is not None:
-        df = df.where(F.col(ts) >= F.timestamp_micros(epoch_us(F.lit(start)) - F.lit(w)).cast(df.schema[ts].dataType))
-    if end is not None:
-        df = df.where(F.col(ts) < F.lit(end).cast(df.schema[ts].dataType))
-    panes = _samples(df, ts, value).groupBy(*SERIES, _slot(F.col("_t"), pane).alias("_p")).agg(F.max_by("_v", "_t").alias("_v"))
-    if w > pane:
-        # move each pane once and copy it to its windows afterwards
-        panes = panes.repartition(*SERIES)
-    out = (
-        panes.withColumn("step", _window_ends(F.col("_p"), pane, w, s))
-        .groupBy(*SERIES, "step")
-        .agg(F.max_by("_v", "_p").alias("value"))
-    )
-    if start is not None:
-        out = out.where(F.col("step") >= F.lit(start).cast("timestamp"))
-    if end is not None:
-        out = out.where(F.col("step") <= F.lit(end).cast("timestamp"))
-    return out
+    df, origin = _bounds(df, ts, start, end, w)
+    # one microsecond less turns the closed end of the window into the open end of a pane
+    rows = _samples(df, ts, value).withColumn("_t", F.col("_t") - origin - 1)
+    panes = rows.groupBy(*SERIES, _slot(F.col("_t"), pane).alias("_p")).agg(F.max_by("_v", "_t").alias("value"))
+    return _on_grid(_last_pane(panes, ["value"], pane, w, s), origin, start, end)
 
 
 def instant(df: DataFrame, at, lookback: str = "5m", ts: str = "ts", value: str = "value") -> DataFrame:

@@ -32,16 +32,28 @@ def fine_grid_rate(spark, sf_dir):
     return _round(M.rate(samples(spark, sf_dir, ["kafka_tabletopic_fps"]), "90m", "20m"))
 
 
-_BOUNDED = gauge_sql("demo_active_users", w="6h", s="4h")
+_BOUNDED = gauge_sql("demo_active_users", w="6h", s="4h", origin="epoch_us(TIMESTAMP '2024-01-05 01:30:00')")
 
 
 @query(
     "bounded_gauge_range",
     f"""SELECT 'demo_active_users' AS metric, sk AS series_key, step, round(value, {DIGITS}) AS value FROM {_BOUNDED}
-        WHERE step >= TIMESTAMP '2024-01-05' AND step <= TIMESTAMP '2024-01-12 12:00:00'""",
+        WHERE step >= TIMESTAMP '2024-01-05 01:30:00' AND step <= TIMESTAMP '2024-01-12 12:00:00'""",
 )
 def bounded_gauge_range(spark, sf_dir):
-    return _round(M.gauge_range(samples(spark, sf_dir, ["demo_active_users"]), "4h", "6h", "2024-01-05", "2024-01-12 12:00:00"))
+    return _round(M.gauge_range(samples(spark, sf_dir, ["demo_active_users"]), "4h", "6h", "2024-01-05 01:30:00", "2024-01-12 12:00:00"))
+
+
+_PER_USER = f"""WITH r AS {rate_sql("kafka_tabletopic_fps", w="90m", s="20m")}, g AS {gauge_sql("demo_active_users", w="5m", s="20m")},
+                 rs AS (SELECT step, sum(value) AS value FROM r GROUP BY step), gs AS (SELECT step, sum(value) AS value FROM g GROUP BY step)"""
+
+
+@query("rate_per_gauge", f"{_PER_USER} SELECT step, round(rs.value / gs.value, {DIGITS}) AS value FROM rs JOIN gs USING (step) WHERE gs.value <> 0")
+def rate_per_gauge(spark, sf_dir):
+    """Vectors of different windows meet: all ends lie on one grid."""
+    rates = M.agg_by(M.rate(samples(spark, sf_dir, ["kafka_tabletopic_fps"]), "90m", "20m"), "sum", [])
+    users = M.agg_by(M.gauge_range(samples(spark, sf_dir, ["demo_active_users"]), "20m", "5m"), "sum", [])
+    return _round(M.binary_op(rates, users.where("value <> 0"), "/"))
 
 
 @query(

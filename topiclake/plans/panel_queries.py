@@ -17,12 +17,21 @@ DIGITS = 6
 # ---- SQL building blocks: each gives (label columns, step, value)
 
 
-def _windows(w: str, s: str) -> str:
-    return f"unnest(generate_series((t - {duration_us(w)}) // {duration_us(s)} + 1, t // {duration_us(s)})) AS k"
+# Ends are multiples of the step. A rate's window is open at its end, so a sample counts from the first end after it; a
+# gauge sees the sample at the end itself.
 
 
-def _end(w: str, s: str) -> str:
-    return f"make_timestamp(k * {duration_us(s)} + {duration_us(w)})"
+def _rate_ends(w: str, s: str) -> str:
+    return f"unnest(range(t // {duration_us(s)} + 1, (t + {duration_us(w)}) // {duration_us(s)} + 1)) AS k"
+
+
+def _gauge_ends(w: str, s: str, origin: str = "0") -> str:
+    low, high = f"cast(ceil((t - {origin}) / {duration_us(s)}.0) AS bigint)", f"cast(ceil((t - {origin} + {duration_us(w)}) / {duration_us(s)}.0) AS bigint)"
+    return f"unnest(range({low}, {high})) AS k"
+
+
+def _end(s: str, origin: str = "0") -> str:
+    return f"make_timestamp({origin} + k * {duration_us(s)})"
 
 
 def _names(metric: str) -> str:
@@ -34,16 +43,16 @@ def rate_sql(metric: str, where: str = "true", w: str = WINDOW, s: str = STEP) -
     return f"""(
         WITH s AS ({samples_sql(metric, where)}),
         d AS (SELECT *, lag(v) OVER (PARTITION BY sk ORDER BY t) AS pv FROM s),
-        g AS (SELECT sk, {names} t, CASE WHEN pv IS NULL THEN 0 WHEN v >= pv THEN v - pv ELSE v END AS delta, {_windows(w, s)} FROM d)
-        SELECT sk, {names} {_end(w, s)} AS step, (sum(delta) - arg_min(delta, t)) / ((max(t) - min(t)) / 1e6) AS value
+        g AS (SELECT sk, {names} t, CASE WHEN pv IS NULL THEN 0 WHEN v >= pv THEN v - pv ELSE v END AS delta, {_rate_ends(w, s)} FROM d)
+        SELECT sk, {names} {_end(s)} AS step, (sum(delta) - arg_min(delta, t)) / ((max(t) - min(t)) / 1e6) AS value
         FROM g GROUP BY sk, {names} k HAVING count(*) >= 2)"""
 
 
-def gauge_sql(metric: str, where: str = "true", w: str = LOOKBACK, s: str = STEP) -> str:
+def gauge_sql(metric: str, where: str = "true", w: str = LOOKBACK, s: str = STEP, origin: str = "0") -> str:
     names = _names(metric)
     return f"""(
-        WITH g AS (SELECT *, {_windows(w, s)} FROM ({samples_sql(metric, where)}))
-        SELECT sk, {names} {_end(w, s)} AS step, arg_max(v, t) AS value FROM g GROUP BY sk, {names} k)"""
+        WITH g AS (SELECT *, {_gauge_ends(w, s, origin)} FROM ({samples_sql(metric, where)}))
+        SELECT sk, {names} {_end(s, origin)} AS step, arg_max(v, t) AS value FROM g GROUP BY sk, {names} k)"""
 
 
 def agg_sql(source: str, fn: str, by: list[str] | None = None) -> str:
