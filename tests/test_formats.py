@@ -229,3 +229,10 @@ def test_nested_versions(spark):
     assert [tuple(x) for x in first["items"]] == [(1, None), (2, None)]
     assert tuple(first.by_key["k"]) == (3, None) and first.by_key["z"] is None
     assert second["items"] == [] and tuple(second.by_key["k"]) == (2**40, "x")
+
+
+def test_reference_cycles_and_long_chains(spark):
+    entries = [(f"s{i}", 1, i, "PROTOBUF", f"x{i}", [(f"n{i + 1}", f"s{i + 1}", 1)]) for i in range(12)]
+    entries += [("s12", 1, 12, "PROTOBUF", "x12", [("n3", "s3", 1), ("again", "s5", -1)])]
+    found = registry.resolve_references(registry_df(spark, entries), "s0")
+    assert {(r.name, r.subject) for r in found.collect()} == {(f"n{i}", f"s{i}") for i in range(1, 13)} | {("again", "s5")}

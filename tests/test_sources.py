@@ -128,3 +128,17 @@ def test_delivery(spark):
 def test_servers_are_recognised():
     assert topics.is_servers("broker-1:9092,broker-2:9092") and topics.is_servers("localhost:9092")
     assert not topics.is_servers("/data/topics") and not topics.is_servers("s3a://bucket/topics")
+
+
+def test_bad_exposition_lines(spark):
+    lines = ["foo{x=1} 5", 'bar{a="1"junk} 2', 'dup{a="1",a="2"} 3', 'ok{a="1",b="x}y,\\"z"} 4', "plain 5", 'trail{a="1",} 6', "\tpad{} 7 \r", "# c", "", "nan{a=\"1\"}", "x{a=\"1\"}8"]
+    df = spark.createDataFrame([(t,) for t in lines], "value string")
+    got = {r.metric: (r.labels, r.value) for r in exposition.parse_exposition(df).collect()}
+    assert got == {"ok": ({"a": "1", "b": 'x}y,"z'}, 4.0), "plain": ({}, 5.0), "trail": ({"a": "1"}, 6.0), "pad": ({}, 7.0), "x": ({"a": "1"}, 8.0)}
+
+
+def test_archives_of_absent_hours(spark, tmp_path):
+    day = dt.datetime(2024, 5, 1)
+    assert archives.read_hourly_json(spark, str(tmp_path), day, day + dt.timedelta(hours=3)).count() == 0
+    lines = spark.createDataFrame([("\t",), ("\r ",), ("{}",), ("x",), ("",)], "value string")
+    assert tuple(P.count_lines(lines).first()) == (1, 1, 3)

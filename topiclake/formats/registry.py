@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from topiclake.session import kept
+
 REGISTRY_SCHEMA = (
     "subject string, version int, id int, type string, schema string, "
     "refs array<struct<name:string, subject:string, version:int>>"
@@ -67,20 +69,16 @@ def resolve_references(registry: DataFrame, subject: str, version: int = -1) ->
     start = newest.where(F.col("subject") == subject).select(
         "subject", (F.col("latest") if version == -1 else F.lit(version)).cast("int").alias("version")
     )
-    reached = spark.sql(
-        """
-        WITH RECURSIVE reach AS (
-            SELECT ref_name, ref_subject, ref_version FROM {edges} JOIN {start} USING (subject, version)
-            UNION ALL
-            SELECT e.ref_name, e.ref_subject, e.ref_version
-            FROM {edges} e JOIN reach r ON e.subject = r.ref_subject AND e.version = r.ref_version
-        )
-        SELECT DISTINCT ref_name AS name, ref_subject AS subject, ref_version AS version FROM reach
-        """,
-        edges=edges,
-        start=start,
-    )
-    return reached.join(registry.drop("refs"), ["subject", "version"])
+    # level by level: what was reached before is not followed again, so cycles end and shared references are met once
+    keys = ["subject", "version"]
+    reached = start.join(edges, keys).select("ref_name", F.col("ref_subject").alias("subject"), F.col("ref_version").cast("int").alias("version")).distinct()
+    front, seen = reached.select(*keys).distinct(), reached
+    while not front.isEmpty():
+        found = front.join(edges, keys).select("ref_name", F.col("ref_subject").alias("subject"), F.col("ref_version").cast("int").alias("version")).distinct()
+        found = kept(spark, found.join(seen, ["ref_name", *keys], "left_anti"))
+        front = found.select(*keys).distinct().join(seen.select(*keys).distinct(), keys, "left_anti")
+        seen = kept(spark, seen.union(found))
+    return seen.withColumnRenamed("ref_name", "name").join(registry.drop("refs"), keys)
 
 
 def registry_rows(registry: DataFrame) -> list[Row]:

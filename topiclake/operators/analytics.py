@@ -58,8 +58,13 @@ def head_rows(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)
 
 
-def random_row(df: DataFrame, seed: int | None = None) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(1)
+def random_row(df: DataFrame, seed: int = 0, key: list[str] | None = None) -> DataFrame:
+    """One row that looks random: the smallest hash of seed and key (all columns without one).
+
+    The same row for the same data and seed, however the rows are dealt to tasks.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key or df.columns])
+    return df.orderBy(F.md5(text.cast("binary"))).limit(1)
 
 
 def select_available(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -73,8 +73,12 @@ _EVENT_JSON = (
 )
 
 
+#: White space as text tools strip it, tabs and carriage returns included.
+_BLANK = r"^\s*$"
+
+
 def _parsed_lines(df: DataFrame, col: str) -> DataFrame:
-    return df.where(F.trim(F.col(col)) != "").select("*", F.try_parse_json(F.col(col)).alias("_json"))
+    return df.where(~F.col(col).rlike(_BLANK)).select("*", F.try_parse_json(F.col(col)).alias("_json"))
 
 
 def drop_malformed(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -87,7 +91,7 @@ def drop_malformed(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFr
 def count_lines(df: DataFrame, col: str = "value") -> DataFrame:
     """Good, bad and blank line counts in one pass."""
     c = F.col(col)
-    blank = F.trim(c) == ""
+    blank = c.rlike(_BLANK)
     parsed = F.try_parse_json(c).isNotNull()
     return df.agg(
         F.count_if(~blank & parsed).alias("good"),

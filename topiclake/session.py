@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "topiclake", master: str | None = None, **conf) -> SparkSession:
@@ -32,18 +31,22 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one inside the warehouse, in every mode."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (base or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder for ``label`` that every executor can reach.
+    """A new folder for ``label`` that every executor can reach."""
+    return f"{shared_root(spark)}/topiclake/{label}-{uuid.uuid4().hex[:12]}"
 
-    The cluster names the parent in ``spark.checkpoint.dir``. Only a local
-    session may fall back to a temporary folder of the machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="topiclake-")
-    return f"{base.rstrip('/')}/topiclake/{label}-{uuid.uuid4().hex[:12]}"
+
+def kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A result written to the shared folder and read again, which ends its lineage."""
+    path = shared_dir(spark, "kept")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _hadoop_path(spark: SparkSession, path: str):

@@ -7,6 +7,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topiclake.session import child_names
+
+# fixed value: how the hourly archives are named
 HOURLY_NAME = "{day}-{hour}.json.gz"
 EVENT_LINES_SCHEMA = "value string, file string"
 
@@ -24,9 +27,10 @@ def hour_names(start: datetime, end: datetime, name: str = HOURLY_NAME) -> list[
 def read_hourly_json(spark: SparkSession, root: str, start: datetime, end: datetime, name: str = HOURLY_NAME) -> DataFrame:
     """Lines of the archives in ``[start, end)`` as ``value``; absent hours give no rows.
 
-    A name may also be a folder. Only the named hours are listed and read.
+    A name may also be a folder. The root is listed once, only the named hours are read.
     """
-    names = hour_names(start, end, name)
+    there = set(child_names(spark, root))
+    names = [n for n in hour_names(start, end, name) if n in there]
     if not names:
         return spark.createDataFrame([], "value string")
     return spark.read.text(f"{root}/{{{','.join(names)}}}")

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from topiclake.functions.scalars import once
 
-_LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{(.*)\})?\s+(\S+)(?:\s+(-?\d+))?\s*$"
 _LABEL = r'([a-zA-Z_][a-zA-Z0-9_]*+)="([^"\\]*+(?:\\.[^"\\]*+)*+)"'
+_PAIR = r'\s*+[a-zA-Z_][a-zA-Z0-9_]*+="[^"\\]*+(?:\\.[^"\\]*+)*+"\s*+'
+# the whole label text has to be pairs; anything else makes the line a bad one
+_LINE = rf"^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{{((?:{_PAIR}(?:,{_PAIR})*+,?\s*+)?+)\}})?\s*+(?<=[\s}}])(\S+)(?:\s+(-?\d+))?\s*$"
 
 
 def _number(text: Column) -> Column:
@@ -25,8 +27,11 @@ def _unescape(text: Column) -> Column:
 
 
 def parse_exposition(lines: DataFrame, col: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """``metric, labels, value`` of every sample line; comments, blank and bad lines are skipped."""
-    c = F.trim(F.col(col))
+    """``metric, labels, value`` of every sample line.
+
+    Comments, blank and bad lines are skipped; a line is bad when its labels are not all pairs or name one label twice.
+    """
+    c = F.regexp_replace(F.col(col), r"^\s+|\s+$", "")
     # one match per line: name, label text and number, split at a mark
     parts = F.split(F.regexp_replace(c, _LINE, "$1\u0001$2\u0001$3"), "\u0001")
     pairs = F.regexp_extract_all("_body", F.lit(_LABEL), F.lit(0))
@@ -37,12 +42,13 @@ def parse_exposition(lines: DataFrame, col: str = "value", keep: list[str] | Non
         plain = F.when(F.contains(text, F.lit("\\")), _unescape(text)).otherwise(text)
         return F.struct(F.substring(pair, F.lit(1), cut - 1), plain)
 
+    names = F.transform(pairs, lambda p: F.substring_index(p, "=", 1))
     return (
         lines.where(~c.startswith("#"))
         .select(*(keep or []), once(parts).alias("_p"))
         .where(F.size("_p") == 3)
-        .select(*(keep or []), F.col("_p")[0].alias("metric"), F.col("_p")[1].alias("_body"), _number(F.col("_p")[2]).alias("value"))
-        .where(F.col("value").isNotNull())
+        .select(*(keep or []), F.get("_p", 0).alias("metric"), F.get("_p", 1).alias("_body"), _number(F.get("_p", 2)).alias("value"))
+        .where(F.col("value").isNotNull() & (F.size(names) == F.size(F.array_distinct(names))))
         .select(*(keep or []), "metric", F.map_from_entries(F.transform(pairs, entry)).alias("labels"), "value")
     )
 

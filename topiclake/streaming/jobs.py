@@ -43,13 +43,12 @@ def _start(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> St
 def read_table_stream(spark: SparkSession, table: str | LakeTable, schema: str | None = None, max_files: int | None = None) -> DataFrame:
     """Rows appended to a table, as a stream.
 
-    For plain folders and append tables whose writer has finished; a job that
-    follows a live table should use ``follow_table``, which reads committed data only.
+    For plain folders. A ``LakeTable`` is refused: compaction writes its rows again and unfinished writes lie beside
+    committed ones, so it is followed by its commits, with ``follow_table``.
     """
     if isinstance(table, LakeTable):
-        schema, path = table.schema, f"{table.path}/data/*/*"
-    else:
-        path = table
+        raise ValueError("a table is followed by its commits: use follow_table")
+    path = table
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
