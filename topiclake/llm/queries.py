@@ -59,6 +59,31 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def _sql_count(text: str, characters: str) -> str:
+    return f"(length({text}) - length(regexp_replace({text}, '[{characters}]', '', 'g')))"
+
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LETTERS, _UPPER = _sql_count("bare", r"\p{L}"), _sql_count("bare", r"\p{Lu}")
+_LINE = rf"""bare = '' OR ((regexp_matches(bare, '[.!?:;…。！？]["''”’»)\]]*$') OR regexp_matches(bare, '[.!?…。！？]["''”’»)\]]* '))
+    AND {_sql_count("bare", "|")} < {quality.MENU_SEPARATORS} AND {_sql_count("bare", "»›>")} < {quality.MENU_SEPARATORS}
+    AND {_sql_count("bare", quality.SYMBOLS)} <= {quality.SYMBOL_SHARE} * length(bare)
+    AND NOT ({_LETTERS} >= {quality.SHOUT_LETTERS} AND {_UPPER} > {quality.SHOUT_SHARE} * {_LETTERS})
+    AND NOT (regexp_matches(bare, '{quality.BOILERPLATE}') AND {_sql_count("bare", " ")} < {quality.BOILERPLATE_WORDS}))"""
+_FAILED = f"(n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words)"
+CHECKS["op8_quality"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM g, (VALUES (0), (1), (2)) o(k) WHERE g.n > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, line, trim(line, {_BLANKS}) AS bare FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+p AS (SELECT doc_id, count(*) FILTER (bare <> '') - count(DISTINCT line) FILTER (bare <> '') AS dup,
+             sum(length(line) + 1) FILTER ({_LINE}) - 1 AS left_chars FROM l GROUP BY doc_id),
+m AS (SELECT d.doc_id, t, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, {_sql_count("t", quality.SYMBOLS)} AS n_symbols,
+             p.dup AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(left_chars, 0) AS left_chars FROM d JOIN p USING (doc_id) LEFT JOIN r USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {_FAILED} AS base_failed,
+       NOT {_FAILED} AND left_chars >= {quality.KEPT_SHARE} * length(t) AS kept FROM m"""
+
+
 @_query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = quality.measure(table(spark, sf_dir, "documents"))
