@@ -24,6 +24,11 @@ def slots(values: np.ndarray, bits: int) -> np.ndarray:
     return ((values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
+def bits_for(values: int, most: int) -> int:
+    """Size of a bitmap for so many values, about four places each, within the bound ``most``."""
+    return min(most, max(SEGMENT_BITS, (4 * values - 1).bit_length()))
+
+
 def _send(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     found, counts = np.unique(np.concatenate(parts), return_counts=True)
     segment = found >> SEGMENT_BITS
@@ -51,6 +56,7 @@ def gather(owned: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
 def build(gathered: DataFrame, bits: int, *owners: int) -> list[Broadcast]:
     """For each number (up to 255) a bitmap of the slots that so many owners use at least, from rows made by ``gather``.
 
+
     Each segment is made by one task; the driver only joins the segments, ``2**bits / 8`` bytes a bitmap.
     """
 

@@ -36,6 +36,15 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that may be sent to every task; more are joined by a shuffle.
+SMALL_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A narrow table, marked for broadcast where a count of its rows allows it, else as it is."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the third of documents that no model may learn from; a null id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(True))

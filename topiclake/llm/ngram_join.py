@@ -22,15 +22,15 @@ from pyspark.sql import functions as F
 
 from topiclake.llm import bitmaps
 from topiclake.llm.bpe import batches
-from topiclake.llm.common import cut
+from topiclake.llm.common import cut, small
 from topiclake.llm.graph import components
 
 #: Places of the count sketch that orders shingles. Its size is fixed; it steers how much work is done, not the result.
 SKETCH_BITS, SKETCH_PARTS = 22, 64
-#: Places of the bitmap of prefix shingles that more than one group has, and of the one of documents to be compared.
-SHARED_BITS, MEMBER_BITS = 27, 24
+#: Most places of the bitmap of prefix shingles that more than one group has, and of the one of documents to be compared.
+SHARED_BITS, MEMBER_BITS = 27, 23
 #: A block of a cluster holds about so many sets and shingles at most; pairs of blocks are compared in one task.
-BLOCK_SETS, BLOCK_SHINGLES = 800, 1_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 2000, 2_500_000
 #: Shingles that more sets of a block pair have are counted by matrix products, the others pair by pair.
 DENSE_FROM, DENSE_CELLS = 8, 4_000_000
 
@@ -106,6 +106,23 @@ def _describe(docs: DataFrame, key: str, text: str, size: int, percent: int, ske
     return docs.select(key, text).mapInArrow(run, "doc long, n long, cls binary, prefix array<bigint>")
 
 
+def _tokens(batch: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of groups (gid, n, prefix): prefix shingles, the row of each, and its place in the prefix.
+
+    Each is named twice, with the class of the group's size and the next one. Sizes that allow a link lie in the same
+    class or in neighbouring ones, so such groups share a name; groups of other sizes do not meet.
+    """
+    lists = batch.column(2)
+    at = np.asarray(lists.offsets)
+    length = np.diff(at)
+    tokens = np.asarray(lists.values)[at[0] : at[-1]].view(np.uint64)
+    owner = np.repeat(np.arange(len(length)), length)
+    place = np.arange(len(tokens)) - np.repeat(np.cumsum(length) - length, length)
+    size = np.floor(np.log(np.asarray(batch.column(1)) + 1e-9) / -np.log(percent / 100 - 1e-6)).astype(np.uint64)[owner]
+    named = np.stack([(tokens ^ (size + np.uint64(k)) * _MIX[3]) * _MIX[2] for k in (0, 1)], 1)
+    return named.ravel().view(np.int64), np.repeat(owner, 2), np.repeat(place, 2)
+
+
 def _close(a: str, b: str, percent: int) -> str:
     """Whether two sizes allow a link."""
     return f"100 * {a} >= {percent} * {b} AND 100 * {b} >= {percent} * {a}"
@@ -151,7 +168,7 @@ def _compare_blocks(percent: int):
     """Links within a pair of blocks, as one edge for each set but the smallest of every component found."""
 
     def run(group: pa.Table) -> pa.Table:
-        reps = group.column("rep").to_pylist()
+        reps = group.column("rep").to_pylist()  # rows that repeat an id and a text are one more member each, and link
         sets = [np.frombuffer(b, np.uint64) for b in group.column("hashes").to_pylist()]
         side = np.array(group.column("side").to_pylist())
         one = group.column("i")[0].as_py() == group.column("j")[0].as_py()
@@ -181,12 +198,12 @@ def _compare_blocks(percent: int):
 
 
 def _clusters(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Postings of shared shingles, and per group in them the smallest group within two steps over shared shingles."""
+    """The postings, written down, and per group in them the smallest group within two steps over shared shingles."""
+    posts = cut(posts)
     label = None
-    shared = posts.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    posts = cut(posts.join(shared, "token"))
-    for step in range(2):
-        least = (posts.join(label, "gid") if step else posts.withColumn("c", F.col("gid"))).groupBy("token").agg(F.min("c").alias("c"))
+    for _ in range(2):
+        own = posts.withColumn("c", F.col("gid")) if label is None else posts.join(small(label), "gid")
+        least = own.groupBy("token").agg(F.min("c").alias("c"))
         label = cut(posts.join(least, "token").groupBy("gid").agg(F.min("c").alias("c")))
     return posts, label
 
@@ -199,38 +216,35 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
     classes = cut(held.groupBy("cls").agg(F.min("doc").alias("rep"), F.min("n").alias("n"), F.min("gid").alias("gid")))
     copies = held.select("cls", "doc").join(classes.select("cls", "rep"), "cls").where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
 
-    # one row for each group of documents of the same prefix and size
-    groups = held.join(classes.groupBy("gid").agg(F.min("rep").alias("doc")), ["gid", "doc"], "left_semi").select("gid", "n", "prefix").dropDuplicates(["gid"])
+    # one document for each group of those of the same prefix and size
+    first = cut(classes.groupBy("gid").agg(F.min("rep").alias("doc")))
+    groups = held.join(small(first), ["gid", "doc"], "left_semi").select("gid", "n", "prefix")
+    bits = bitmaps.bits_for(2 * (groups.agg(F.sum(F.size("prefix"))).first()[0] or 0), SHARED_BITS)
 
     def gather(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = (np.asarray(x.values if x.values is not None else [], np.int64) for b in arrow for x in b.column(0))
-        yield from bitmaps.gather(own, SHARED_BITS)
+        for batch in batches(arrow):
+            tokens, owner, _ = _tokens(batch, percent)
+            yield from bitmaps.gather(iter(np.split(tokens, np.flatnonzero(np.diff(owner)) + 1)), bits)
 
-    groups = cut(groups)
-    [shared] = bitmaps.build(groups.select("prefix").mapInArrow(gather, bitmaps.SCHEMA), SHARED_BITS, 2)
+    [shared] = bitmaps.build(groups.select("gid", "n", "prefix").mapInArrow(gather, bitmaps.SCHEMA), bits, 2)
 
     def post(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow:
-            lists = batch.column(2)
-            at = np.asarray(lists.offsets)
-            tokens = np.asarray(lists.values, np.int64)[at[0] : at[-1]]
-            length = np.diff(at)
-            owner = np.repeat(np.arange(len(length)), length)
-            place = np.arange(len(tokens)) - np.repeat(np.cumsum(length) - length, length)
-            ok = bitmaps.hits(shared, tokens) if len(tokens) else np.zeros(0, bool)
+        for batch in batches(arrow):
+            tokens, owner, place = _tokens(batch, percent)
+            ok = bitmaps.hits(shared, tokens)
             gid, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tokens[ok], gid[owner[ok]], n[owner[ok]], place[ok])], ["token", "gid", "n", "pos"])
 
     posts, label = _clusters(groups.select("gid", "n", "prefix").mapInArrow(post, "token long, gid long, n long, pos long"))
 
     # members of clusters of more than one set, dealt to blocks; each pair of blocks is one task's work
-    members = classes.join(label, "gid", "left").withColumn("c", F.coalesce("c", "gid"))
+    members = classes.join(small(label), "gid", "left").withColumn("c", F.coalesce("c", "gid"))
     sized = members.groupBy("c").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     members = cut(members.join(sized.withColumn("blocks", blocks), "c").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")))
 
     # what meets across clusters: no pair of these lies in one cluster, so none is compared twice
-    x = posts.join(label, "gid")
+    x = posts.join(small(label), "gid")
     y = x.select("token", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "pos", "c")])
     most = f"100 * (1 + least(n - pos - 1, n2 - pos2 - 1)) * (100 + {percent}) >= 100 * {percent} * (n + n2)"
     across = x.join(y, "token").where(f"c < c2 AND {_close('n', 'n2', percent)} AND {most}").select("gid", "gid2").distinct()
@@ -238,25 +252,25 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
     pairs = across.join(cls.withColumnRenamed("cls", "cls1"), "gid").join(cls.select(F.col("gid").alias("gid2"), F.col("cls").alias("cls2")), "gid2").select("cls1", "cls2")
     pairs = cut(pairs)
 
-    wanted = members.where("k > 1").select(F.col("rep").alias("v")).union(
-        pairs.select(F.explode(F.array("cls1", "cls2")).alias("cls")).distinct().join(classes, "cls").select("rep")
-    )
-
     def mark(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from bitmaps.gather((np.asarray(b.column(0), np.int64) for b in arrow), MEMBER_BITS)
 
-    [wanted] = bitmaps.build(wanted.mapInArrow(mark, bitmaps.SCHEMA), MEMBER_BITS, 1)
+    def reread(wanted: DataFrame) -> DataFrame:
+        """Sets of the documents with the ids ``rep``, and of some chance others."""
+        [bitmap] = bitmaps.build(wanted.select("rep").mapInArrow(mark, bitmaps.SCHEMA), MEMBER_BITS, 1)
 
-    def reread(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(arrow, 1024):
-            batch = batch.filter(batch.column(0).is_valid())
-            batch = batch.filter(pa.array(bitmaps.hits(wanted, np.asarray(batch.column(0), np.int64))))
-            sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
-            digests = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None for h in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], ["rep", "cls", "hashes"])
-
-    sets = docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(reread, "rep long, cls binary, hashes binary").where("cls IS NOT NULL")
-    dealt = sets.join(members.where("k > 1").select("cls", "rep", "c", "block", "blocks"), ["cls", "rep"]).dropDuplicates(["cls", "block"])
+        def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches(arrow, 1024):
+                batch = batch.filter(batch.column(0).is_valid())
+                batch = batch.filter(pa.array(bitmaps.hits(bitmap, np.asarray(batch.column(0), np.int64))))
+                sets = [shingles(t, size) for t in batch.column(1).to_pylist()]
+                digests = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None for h in sets]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], ["rep", "cls", "hashes"])
+
+        return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, "rep long, cls binary, hashes binary").where("cls IS NOT NULL")
+
+    several = members.where("k > 1").select("cls", "rep", "c", "block", "blocks")
+    dealt = reread(several).join(small(several), ["cls", "rep"])
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "hashes")
     within = dealt.groupBy("c", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
@@ -267,9 +281,9 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
             ok = pa.array([linked(p, q, percent) for p, q in zip(one, two)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(ok)
 
-    one = sets.dropDuplicates(["cls", "rep"])
-    reps = classes.select("cls", "rep")
-    met = pairs.join(reps.join(one, ["cls", "rep"]).toDF("cls1", "a", "h1"), "cls1").join(reps.join(one, ["cls", "rep"]).toDF("cls2", "b", "h2"), "cls2")
+    ends = cut(pairs.select(F.explode(F.array("cls1", "cls2")).alias("cls")).distinct().join(classes.select("cls", "rep"), "cls"))
+    ends = cut(reread(ends).join(ends, ["cls", "rep"]).dropDuplicates(["cls"]).select("cls", "rep", "hashes"))
+    met = pairs.join(ends.toDF("cls1", "a", "h1"), "cls1").join(ends.toDF("cls2", "b", "h2"), "cls2")
     across = met.select("a", "b", "h1", "h2").mapInArrow(verify, "a long, b long")
     return described, copies.union(within).union(across)
 
@@ -293,5 +307,5 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_
 
     Of rows that repeat a kept key, all stay: a later step may tell them apart.
     """
-    parts = join(docs, size, percent, key, text).where(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(parts, docs[key] == F.col("_gone"), "left_anti")
+    gone = join(docs, size, percent, key, text).where(F.col(key) != F.col("component_id")).select(key).distinct()
+    return docs.join(gone, key, "left_anti").select(*docs.columns)
