@@ -33,8 +33,11 @@ class Forest:
         centred = vectors - self.centre
         return np.stack([(centred @ p > 0) @ weight for p in self.planes]).astype(np.uint64)
 
-    def candidates(self, queries: np.ndarray, wanted: int):
-        """Per query the vectors that share the longest prefixes: all trees ascend together until enough are found."""
+    def candidates(self, queries: np.ndarray, wanted: int, least: int):
+        """Per query the vectors that share the longest prefixes.
+
+        All trees ascend together until they have found ``wanted`` in all and ``least`` different ones, or everything.
+        """
         codes = self._codes(queries)
         low = np.empty((BITS + 1, TREES, len(queries)), np.int32)
         high = np.empty_like(low)
@@ -48,8 +51,12 @@ class Forest:
             level = np.flatnonzero(found[:, q] >= wanted)
             level = level[-1] if len(level) else 0
             mark = np.zeros(self.size, bool)
-            for t in range(TREES):
-                mark[self.order[t, low[level, t, q] : high[level, t, q]]] = True
+            while True:
+                for t in range(TREES):
+                    mark[self.order[t, low[level, t, q] : high[level, t, q]]] = True
+                if level == 0 or np.count_nonzero(mark) >= least:
+                    break
+                level -= 1
             yield q, np.flatnonzero(mark)
 
 
@@ -70,7 +77,7 @@ def _search_blocks(k: int):
         if len(base) and len(queries):
             points = vectors[base]
             forest = Forest(points)
-            for q, near in forest.candidates(vectors[queries], max(4 * k, int(SHARE * len(base)))):
+            for q, near in forest.candidates(vectors[queries], int(SHARE * len(base)), 4 * k):
                 own = int(ids[queries[q]])
                 d = np.sqrt(((points[near] - vectors[queries[q]]) ** 2).sum(1))
                 if len(near) > 2 * k + 2:  # members differ from place to place: keep all that can be among the first k
