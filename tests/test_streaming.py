@@ -146,3 +146,38 @@ def test_latest_start_skips_old_messages(spark):
     q = stream.writeStream.format("memory").queryName("fresh").trigger(availableNow=True).start()
     run(q)
     assert [bytes(r.value) for r in spark.table("fresh").collect()] == [b"new"]
+
+
+def test_latest_start_survives_a_restart(spark):
+    log, ckpt, out = (shared_dir(spark, n) for n in ("log", "ckpt", "out"))
+    df = spark.createDataFrame([("a", "old")], "k string, v string")
+    topics.write_topic(df, log, "t", "k", "v", timestamp=F.lit("2020-01-01").cast("timestamp"))
+
+    def start():
+        stream = topics.read_topic_stream(spark, log, "t", starting="latest", checkpoint=ckpt)
+        run(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+
+    start()
+    for word in ("between", "later"):
+        topics.write_topic(df.withColumn("v", F.lit(word)), log, "t", "k", "v")
+        start()
+    assert sorted(bytes(r.value) for r in spark.read.parquet(out).collect()) == [b"between", b"later"]
+    assert topics.read_topic(spark, log, "t", starting="latest").count() == 0
+
+
+def test_following_a_keyed_table(spark):
+    source, seen = LakeTable(spark, shared_dir(spark, "keyed")).create(id_columns=["k"]), []
+    ckpt = shared_dir(spark, "ckpt")
+
+    def follow():
+        run(jobs.follow_table(spark, source, lambda rows, _: seen.extend(tuple(r) for r in rows.select("k", "v", "_op").collect()), ckpt))
+
+    rows = lambda *x: spark.createDataFrame(list(x), "k int, v string")
+    source.upsert(rows((1, "a"), (2, "b")))
+    source.upsert(rows((1, "c")))
+    follow()
+    source.compact()
+    source.upsert(rows((2, "b")).withColumn("op", F.lit("d")), op="op")
+    follow()
+    assert sorted(seen) == [(1, "a", "u"), (1, "c", "u"), (2, "b", "d"), (2, "b", "u")]
+    assert sum(r.record_count for r in source.partitions().collect()) >= 2

@@ -140,6 +140,25 @@ def partition_counts(spark, sf_dir):
     return parts.groupBy(month).agg(F.sum("record_count").alias("record_count"))
 
 
+@query(
+    "compacted_partition_counts",
+    """SELECT cast((year(o_orderdate) - 1970) * 12 + month(o_orderdate) - 1 AS integer) AS month, cast(count(*) AS bigint) AS record_count
+       FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1""",
+)
+def compacted_partition_counts(spark, sf_dir):
+    """Live rows of a keyed, partitioned table that was written twice, lost some keys and was folded after each step."""
+    orders = load(spark, sf_dir, "orders")
+    table = LakeTable(spark, shared_dir(spark, "live")).create(id_columns=["o_orderkey"], partition_by="[month(o_orderdate)]")
+    table.upsert(orders.where(F.col("o_orderkey") % 3 == 0))
+    table.compact()
+    table.upsert(orders)
+    gone = F.when(F.col("o_orderstatus") == "P", F.lit("d")).otherwise(F.lit("u"))
+    table.upsert(orders.withColumn("op", gone), op="op")
+    table.compact()
+    month = F.get_json_object("partition", "$.o_orderdate_month").cast("int").alias("month")
+    return table.partitions().groupBy(month).agg(F.sum("record_count").alias("record_count"))
+
+
 @query(
     "partition_evolution",
     """SELECT cast(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS integer) AS spec_id, cast(sum(1) AS bigint) AS record_count,

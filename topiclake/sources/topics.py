@@ -37,8 +37,10 @@ def _kafka_options(location: str, topic: str) -> dict[str, str]:
 
 
 def read_topic(spark: SparkSession, location: str, topic: str, starting: str = "earliest") -> DataFrame:
-    """All messages of a topic as a batch; a log also has ``txn_id``."""
+    """All messages of a topic as a batch; a log also has ``txn_id``. A batch from ``latest`` on is empty."""
     use_utc(spark)
+    if starting == "latest":
+        return read_topic(spark, location, topic).limit(0)
     if is_servers(location):
         reader = spark.read.format("kafka").options(**_kafka_options(location, topic)).option("startingOffsets", starting)
         return reader.load().select(*MESSAGE_COLUMNS)
@@ -46,17 +48,31 @@ def read_topic(spark: SparkSession, location: str, topic: str, starting: str = "
     return log.select(*MESSAGE_COLUMNS, "txn_id")
 
 
+def _first_start(spark: SparkSession, checkpoint: str | None) -> int:
+    """Microseconds of the first start with a checkpoint; written once."""
+    now = spark.range(1).select(F.unix_micros(F.current_timestamp()).alias("at"))
+    if checkpoint is None:
+        return now.first()[0]
+    path = f"{checkpoint.rstrip('/')}-start"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        now.coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).agg(F.min("at")).first()[0]
+
+
 def read_topic_stream(
     spark: SparkSession,
     location: str,
     topic: str,
     starting: str = "earliest",
     max_per_batch: int | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """A topic as a stream.
 
     ``max_per_batch`` limits messages per batch for Kafka and files per batch
-    for a log. ``latest`` on a log skips messages from before the query.
+    for a log. ``latest`` on a log skips messages from before the first start:
+    its time is kept in the folder of the query's ``checkpoint``, so a restart
+    delivers what came in between. Without a checkpoint it is the time of this call.
     """
     use_utc(spark)
     if is_servers(location):
@@ -69,8 +85,7 @@ def read_topic_stream(
         reader = reader.option("maxFilesPerTrigger", max_per_batch)
     log = reader.parquet(f"{location}/messages").where(F.col("topic") == topic)
     if starting == "latest":
-        now = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
-        log = log.where(F.col("timestamp") >= F.lit(now).cast("timestamp"))
+        log = log.where(F.col("timestamp") >= F.timestamp_micros(F.lit(_first_start(spark, checkpoint))))
     return log.select(*MESSAGE_COLUMNS, "txn_id")
 
 

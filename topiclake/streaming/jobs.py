@@ -66,13 +66,14 @@ def follow_table(
     """Hand the rows of newly committed batches to ``sink(rows, batch_id)``.
 
     The stream runs over the commits table, so rows of unfinished writes are
-    never seen and each commit is read once.
+    never seen and each commit is read once. Of a keyed table the sink gets the
+    changes of each batch, with ``_op``; compaction adds nothing new.
     """
     commits = (
         spark.readStream.schema(f"{COMMIT_SCHEMA}, block bigint, commit_id bigint")
         .option("maxFilesPerTrigger", max_commits)
         .parquet(f"{source.path}/commits")
-        .where(F.col("operation") == "append")
+        .where(F.col("operation").isin("append", "upsert", "cdc"))
         .select("commit_id")
     )
 

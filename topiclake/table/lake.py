@@ -379,6 +379,11 @@ class LakeTable:
                 df = df.where((F.col("commit") > state["folded_to"]) | F.col("commit").isin(list(state["compacted"])))
             partition = F.struct(*[F.col(p.name).cast("string").alias(p.name) for p in parts]) if parts else F.struct()
             if file_info:
+                if keyed:
+                    # of each bucket what its last fold wrote, and changes not folded yet; markers of deleted keys are no rows
+                    folded = (F.col("kb") >= 0) & (F.col("commit") == self._base_commit())
+                    fresh = (F.col("kb") == FRESH) & (F.col("commit") > state["folded_to"])
+                    df = df.where((folded | fresh) & ~F.col("_op").eqNullSafe("d"))
                 df = df.select(
                     F.col("commit"),
                     F.lit(spec_id).alias("spec_id"),
@@ -473,9 +478,13 @@ class LakeTable:
         return raw
 
     def read_commits(self, commit_ids: list[int]) -> DataFrame:
-        """Rows added by the given commits, as stored."""
+        """Rows added by the given commits, as stored; of a keyed table its changes, with ``_op`` (``d`` for a removed key)."""
         raw = self._raw(commits=commit_ids)
-        return self.spark.createDataFrame([], self.schema) if raw is None else raw.select(*self.schema.names)
+        if raw is None:
+            return self.spark.createDataFrame([], self.schema)
+        if self.id_columns:
+            return raw.where(F.col("kb") == FRESH).select(*self.schema.names, "_op")
+        return raw.select(*self.schema.names)
 
     # ---- maintenance
 
@@ -576,7 +585,10 @@ class LakeTable:
         return log.join(added, "commit")
 
     def partitions(self) -> DataFrame:
-        """Stored rows, files and bytes per spec and partition value."""
+        """Rows, files and bytes per spec and partition value.
+
+        Of a keyed table, rows of folded buckets and changes not folded yet: after ``compact`` exactly the live rows.
+        """
         return self._files().groupBy("spec_id", "partition").agg(
             F.sum("record_count").alias("record_count"),
             F.count(F.lit(1)).alias("file_count"),
