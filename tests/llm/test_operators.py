@@ -247,7 +247,7 @@ def brute_spans(rows, n=50):
 
 @pytest.mark.parametrize("limits", [(100, 20_000), (2, 50)])
 def test_suffix_dedup_equals_brute_force(spark, monkeypatch, limits):
-    monkeypatch.setattr(suffix_dedup, "HOT_OWNERS", limits[0])
+    monkeypatch.setattr(suffix_dedup, "HOT_FRAGMENTS", limits[0])
     monkeypatch.setattr(suffix_dedup, "BUCKET_FRAGMENTS", limits[1])
     rng = random.Random(limits[0])
     vocabulary = ["".join(rng.choice("abcdefé") for _ in range(rng.randint(2, 9))) for _ in range(200)]
@@ -366,7 +366,8 @@ def test_secrets_found_and_redacted(spark):
 
 def test_forest_from_given_findings(spark):
     df = spark.createDataFrame([(i, f'token = "{i:04d}abcdef0123456789abcdef"', "p") for i in range(40)] + [(100 + i, f"number 12345678901234{i:04d} here", "p") for i in range(40)], "doc_id long, text string, source string")
-    described = secrets.features(secrets.candidates(df), secrets.dictionary(df))
+    found = secrets.candidates(df)
+    described = secrets.features(found, secrets.dictionary(df, found))
     labelled = described.withColumn("label", (F.col("doc") >= 100).cast("double"))  # the other way round: labels rule, not patterns
     flagged = {r["doc"] for r in secrets.scan(df, labelled).where("secret").collect()}
     assert flagged == set(range(100, 140))

@@ -8,12 +8,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topiclake.llm.common import cut
+from topiclake.llm.common import cut, small
 
 #: A candidate: a run of key characters with a digit, or of a known issuer's form. Nothing is cut off at its end.
 _RUN = r"(?=[A-Za-z+/_.=~-]{0,40}+[0-9])[A-Za-z0-9+/_=~.-]{16,}"
-_PLAIN = r"""(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey)["']?[ ]?[:=][ ]?["'])[^\s"'<>]{8,}(?=["'])"""
-CANDIDATE = rf"(?<![A-Za-z0-9+/_=~.-])(?:{_RUN})|{_PLAIN}"
+_VALUE = r"""[^\s"'<>]{8,}(?=["'])"""
+_NAMED = r"""(?i:passw(?:or)?d|pwd|secret|token|api_?key)["']?[ ]?[:=][ ]?["']"""
+CANDIDATE = rf"(?<![A-Za-z0-9+/_=~.-])(?:{_RUN})|{_NAMED}{_VALUE}"
 #: Characters of context before and after a candidate.
 BEFORE, AFTER = 64, 32
 # Words near real secrets, words near other long strings, forms of known issuers, paths of examples and of settings.
@@ -22,8 +23,8 @@ DIGEST = r"(?i)(sha-?\d*|md5|checksum|digest|commit|etag|uuid|guid|revision|hash
 ISSUED = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_(live|test)_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$|^eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+$"
 EXAMPLE_PATH = r"(?i)(test|example|sample|mock|fixture|doc|demo|tutorial)"
 SETTINGS_PATH = r"(?i)(\.env|config|settings|secret|credential|deploy|\.pem|\.ya?ml|\.ini|\.properties)"
-#: Words of a dictionary, and the documents a word needs to be in it.
-DICTIONARY_WORDS, DICTIONARY_DOCS = 20_000, 3
+#: The documents that make a run of letters a word of the dictionary.
+DICTIONARY_DOCS = 3
 #: Bound of the training sample (those of the smallest hash), and the forest.
 TRAIN_ROWS, TREES, DEPTH, SEED = 20_000, 30, 6, 17
 SECRET_FROM = 0.5
@@ -38,21 +39,36 @@ FEATURES = [
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """One row per candidate: ``doc``, ``mark`` (hash of the text), ``path``, ``start`` (from 0), ``value``, ``before``, ``after``."""
     t = F.col(text)
-    read = docs.select(F.col(key).alias("doc"), F.col(path).cast("string").alias("path"), F.xxhash64(t).alias("mark"), F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)).alias("found"), t.alias("t")).where(F.size("found") > 0)
-    read = read.select("doc", "path", "mark", "found", F.split("t", CANDIDATE, -1).alias("between")).withColumn("row", F.monotonically_increasing_id())
+    # texts are cut once; the few with a candidate are then read again for the candidates themselves
+    cut_once = F.explode(F.array(F.split(t, CANDIDATE, -1))).alias("between")
+    read = docs.select(F.col(key).alias("doc"), F.col(path).cast("string").alias("path"), F.xxhash64(t).alias("mark"), t.alias("t"), cut_once).where(F.size("between") > 1)
+    read = read.select("doc", "path", "mark", F.regexp_extract_all("t", F.lit(CANDIDATE), F.lit(0)).alias("found"), "between").withColumn("row", F.monotonically_increasing_id())
     each = F.arrays_zip(F.col("between").alias("b"), F.col("found").alias("v"), F.slice("between", F.lit(2), F.size("between")).alias("a"))
-    short = F.transform(each, lambda z: F.struct(F.length(z["b"]).alias("gap"), F.right(z["b"], F.lit(BEFORE)).alias("before"), z["v"].alias("value"), F.left(z["a"], F.lit(AFTER)).alias("after")))
-    rows = read.select("doc", "path", "mark", "row", F.posexplode(short).alias("at", "c")).where("c.value IS NOT NULL")
-    spans = Window.partitionBy("row").orderBy("at")
-    end = F.sum(F.col("c.gap") + F.length("c.value")).over(spans)
+    # a value that is named in front of it travels with its name up to here
+    name = lambda v: F.regexp_extract(v, f"^{_NAMED}", 0)
+    short = F.transform(
+        each,
+        lambda z: F.struct(
+            F.length(z["b"]).alias("gap"), F.right(F.concat(F.right(z["b"], F.lit(BEFORE)), name(z["v"])), F.lit(BEFORE)).alias("before"),
+            z["v"].alias("match"), F.substring(z["v"], F.length(name(z["v"])) + 1, F.length(z["v"])).alias("value"), F.left(z["a"], F.lit(AFTER)).alias("after"),
+        ),
+    )
+    rows = read.select("doc", "path", "mark", "row", F.posexplode(short).alias("at", "c")).where("c.match IS NOT NULL")
+    end = F.sum(F.col("c.gap") + F.length("c.match")).over(Window.partitionBy("row").orderBy("at"))
     return rows.select("doc", "mark", "path", (end - F.length("c.value")).cast("long").alias("start"), "c.value", "c.before", "c.after")
 
 
-def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The most widespread words of all documents; their number is bounded, equal counts go by the alphabet."""
-    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
-    counted = docs.select(F.explode(words).alias("word")).where(F.length("word").between(3, 16)).groupBy("word").agg(F.count("*").alias("docs"))
-    return counted.where(F.col("docs") >= DICTIONARY_DOCS).orderBy(F.col("docs").desc(), "word").limit(DICTIONARY_WORDS)
+def _parts(found: DataFrame) -> DataFrame:
+    """Letter runs of the values, cut between small and capital letters too: ``value``, ``word``."""
+    split = F.split(F.lower(F.regexp_replace("value", r"(?<=\p{Ll})(?=\p{Lu})", " ")), r"[^\p{L}]+")
+    return found.select("value").distinct().select("value", F.explode(F.array_distinct(split)).alias("word")).where(F.length("word") > 2)
+
+
+def dictionary(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
+    """Of the letter runs in the values, those that are words in so many of all documents."""
+    wanted = small(cut(_parts(found).select("word").distinct()))
+    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text), r"[\x00-\x60\x7B-\x7F]+"))).alias("word"))
+    return words.join(wanted, "word", "left_semi").groupBy("word").agg(F.count("*").alias("docs")).where(F.col("docs") >= DICTIONARY_DOCS)
 
 
 def _count(value: Column, pattern: str) -> Column:
@@ -79,7 +95,7 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
         yes(F.col("path").rlike(EXAMPLE_PATH)).alias("example_path"), yes(F.col("path").rlike(SETTINGS_PATH)).alias("settings_path"),
     )
     # how much of a value's letters are words of the dictionary: the values' parts meet the words, once per distinct value
-    parts = found.select("value").distinct().select("value", F.explode(F.array_distinct(F.split(F.lower(F.regexp_replace("value", r"(?<=\p{Ll})(?=\p{Lu})", " ")), r"[^\p{L}]+"))).alias("word")).where(F.length("word") > 2)
+    parts = _parts(found)
     covered = parts.join(known.select("word"), "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
     rates = found.groupBy("path").agg(F.count("*").alias("_at"), F.count_if(F.col("before").rlike(CREDENTIAL)).alias("_near"))
     out = out.join(covered, "value", "left").join(rates, "path", "left")
@@ -131,8 +147,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id"
     each reported. Texts are read whole, ``start`` counts characters. Other columns are not read; an empty table gives
     no rows.
     """
-    found = candidates(docs, key, text, path)
-    described = cut(features(found, dictionary(docs, text)))
+    found = cut(candidates(docs, key, text, path))
+    described = cut(features(found, dictionary(docs, found, text)))
     forest = train(weak_labels(described) if labelled is None else labelled)
     judged = judge(described, forest)
     return judged.select("doc", "mark", "path", "start", "value", "score", (F.col("score") >= SECRET_FROM).alias("secret"))
