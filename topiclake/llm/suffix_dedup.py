@@ -22,10 +22,13 @@ from topiclake.llm.bpe import batches
 from topiclake.llm.common import cut
 
 GRAM = 20
-#: Places of the bitmaps that spare unshared anchors and fragments the way through a shuffle.
-ANCHOR_BITS, FRAGMENT_BITS = 29, 27
-#: An anchor of more documents than this is dealt by its stretches rather than as one bucket.
-HOT_OWNERS = 100
+#: Stretches that share an anchor, at most: what was found of them is one number, 31 bits below the first one's place.
+SPAN = 31
+#: Most places of the bitmaps that spare anchors of one document, fragments that need not be compared or were sent by
+#: another owner, and fragments without an answer the way through a shuffle; smaller inputs take smaller ones.
+ANCHOR_BITS, MIXED_BITS, FRAGMENT_BITS = 28, 26, 26
+#: An anchor of so many different surroundings is dealt by its stretches rather than as one bucket.
+HOT_FRAGMENTS = 2000
 #: Fragments of a bucket, about; a task sorts one bucket and one alignment at a time.
 BUCKET_FRAGMENTS = 20_000
 # A difference cover; any two residues have a cover residue at the same distance behind both.
@@ -35,6 +38,12 @@ _A = 0x9E3779B97F4A7C15
 _TABLE = np.random.default_rng(11).integers(1, 2**63, 256, np.uint64) | np.uint64(1)
 
 
+def _gram(length: int) -> int:
+    if length < GRAM:
+        raise ValueError(f"strings of {GRAM} bytes at least")
+    return max(GRAM, length - SPAN + 1)
+
+
 def gram_hashes(text: np.ndarray, q: int) -> np.ndarray:
     """64-bit hashes of all ``q``-byte grams, by doubling."""
     power = _TABLE[text]
@@ -62,8 +71,8 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     empty = np.zeros(0, np.int64)
     if len(text) < length:
         return empty.view(np.uint64), empty, empty, empty
-    h = gram_hashes(np.frombuffer(text, np.uint8), GRAM)
-    window = length - GRAM + 1
+    h = gram_hashes(np.frombuffer(text, np.uint8), _gram(length))
+    window = length - _gram(length) + 1
     least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
     reach = 1
     while 2 * reach <= window:
@@ -76,14 +85,44 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return h[at[first]], first, np.diff(np.r_[first, len(at)]), at[first]
 
 
-def _fragments(text: bytes, length: int, wanted: Broadcast) -> Iterator[tuple[int, int, int, int, bytes, int]]:
-    """Of the wanted anchors: hash, first stretch, number of stretches, place within the fragment, its bytes, its key."""
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse, made once for the longest text of a worker."""
+    if len(_POWERS[0]) < n:
+        n = max(n, 2 * len(_POWERS[0]), 1 << 16)
+        for i, base in enumerate((_A, pow(_A, -1, 2**64))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.multiply.accumulate(steps)
+    return _POWERS[0], _POWERS[1]
+
+
+_POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+
+
+def fragments(text: bytes, length: int, wanted: Broadcast) -> tuple[np.ndarray, ...]:
+    """Of the wanted anchors: hash, first stretch, number of stretches, place of the anchor in the fragment, fragment key.
+
+    The fragment is all bytes of the anchor's stretches; its key is a hash of them and of the anchor's place.
+    """
     h, first, count, at = anchors(text, length)
     if len(h):
         ok = bitmaps.hits(wanted, h)
-        for a, f, n, p in zip(h[ok].view(np.int64).tolist(), first[ok].tolist(), count[ok].tolist(), at[ok].tolist()):
-            piece = text[f : f + n - 1 + length]
-            yield a, f, n, p - f, piece, xxhash.xxh3_64_intdigest(piece, seed=p - f) - 2**63
+        h, first, count, at = h[ok], first[ok], count[ok], at[ok]
+    if not len(h):
+        return h.view(np.int64), first, count, at, h.view(np.int64)
+    up, down = _powers(len(text))
+    sums = np.r_[np.uint64(0), np.cumsum(_TABLE[np.frombuffer(text, np.uint8)] * up[: len(text)])]
+    key = (sums[first + count - 1 + length] - sums[first]) * down[first]
+    key = (key ^ (key >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9) + (count * 64 + at - first).view(np.uint64) * np.uint64(0x94D049BB133111EB)
+    key = (key ^ (key >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)
+    return h.view(np.int64), first, count, at - first, (key ^ (key >> np.uint64(32))).view(np.int64)
+
+
+def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of pairs of numbers."""
+    x = a.view(np.uint64) ^ (b.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x ^ (x >> np.uint64(27))).view(np.int64)
 
 
 def sort_buckets(hashes: np.ndarray, place: np.ndarray, pieces: list[bytes], owner: np.ndarray, length: int) -> list[np.ndarray]:
@@ -93,7 +132,7 @@ def sort_buckets(hashes: np.ndarray, place: np.ndarray, pieces: list[bytes], own
     suffixes, sorted at a time. A key is the bytes before the next place of the cover, that place's rank, made once for
     all buckets, and the bytes behind.
     """
-    lead = length - GRAM
+    lead = length - _gram(length)
     width = lead + length
     n = len(pieces)
     sizes = np.array([len(p) for p in pieces])
@@ -146,66 +185,92 @@ def sort_buckets(hashes: np.ndarray, place: np.ndarray, pieces: list[bytes], own
     return [least[i, start[i] : stop[i] - length + 1] for i in range(n)]
 
 
+def _bitmap(values: DataFrame, most: int) -> Broadcast:
+    """A bitmap of a table of one column."""
+    bits = bitmaps.bits_for(values.count(), most)
+
+    def mark(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from bitmaps.gather((np.asarray(b.column(0)) for b in arrow), bits)
+
+    return bitmaps.build(values.mapInArrow(mark, bitmaps.SCHEMA), bits, 1)[0]
+
+
+def _pairs(owned: DataFrame) -> DataFrame:
+    """Hashes of fragment and smallest owner."""
+
+    def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow:
+            yield _batch([_joint(np.asarray(batch.column(0)), np.asarray(batch.column(1)))], ["v"], [pa.int64()])
+
+    return owned.select("fragment", "lo").mapInArrow(run, "v long")
+
+
 def _batch(columns: list[list], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc``, ``mark`` (hash of the text) and ``hits``: runs of stretches (first, number) found in a smaller document."""
+    """``doc``, ``mark`` (hash of the text) and ``hits``: places of stretches found in a smaller document, 31 in a number."""
     read = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("mark")).where("doc IS NOT NULL AND text IS NOT NULL")
 
+    anchor_count = 2 * (read.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (length - _gram(length) + 1)
+    bits = bitmaps.bits_for(anchor_count, ANCHOR_BITS)
+
     def owners(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = (np.unique(anchors(t.encode("utf-8", "replace"), length)[0]).view(np.int64) for b in batches(arrow) for t in b.column(1).to_pylist())
-        yield from bitmaps.gather(own, ANCHOR_BITS)
+        yield from bitmaps.gather(own, bits)
 
-    shared, hot = bitmaps.build(read.mapInArrow(owners, bitmaps.SCHEMA), ANCHOR_BITS, 2, HOT_OWNERS)
+    [shared] = bitmaps.build(read.mapInArrow(owners, bitmaps.SCHEMA), bits, 2)
 
-    # one row per distinct fragment, with its smallest and largest owner
+    # one row per distinct fragment, with its smallest and largest owner; of the anchor 32 bits, which tell enough here
     def classes(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow, 1024):
-            seen: dict[int, list[int]] = {}
+            keys, hashes, docs_ = [], [], []
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for a, _, _, _, _, k in _fragments(t.encode("utf-8", "replace"), length, shared):
-                    s = seen.setdefault(k, [a, d, d])
-                    s[1], s[2] = min(s[1], d), max(s[2], d)
-            yield _batch([list(seen), *([v[i] for v in seen.values()] for i in range(3))], ["fragment", "anchor", "lo", "hi"], [pa.int64()] * 4)
-
-    known = read.mapInArrow(classes, "fragment long, anchor long, lo long, hi long").groupBy("fragment").agg(F.first("anchor").alias("anchor"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+                h, _, _, _, k = fragments(t.encode("utf-8", "replace"), length, shared)
+                keys.append(k)
+                hashes.append(h)
+                docs_.append(np.full(len(k), d, np.int64))
+            key, h, d = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, hashes, docs_))
+            order = np.lexsort((d, key))
+            key, h, d = key[order], h[order], d[order]
+            new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+            last = np.r_[new[1:], len(key)][: len(new)] - 1
+            yield _batch([key[new], (h[new] >> 32).astype(np.int32), d[new], d[last]], ["fragment", "anchor", "lo", "hi"], [pa.int64(), pa.int32(), pa.int64(), pa.int64()])
+
+    known = read.mapInArrow(classes, "fragment long, anchor int, lo long, hi long").groupBy("fragment").agg(F.min("anchor").alias("anchor"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     known = cut(known)
-
-    # the anchors with several surroundings; only there do bytes have to meet
-    several = known.groupBy("anchor").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("n > 1 AND lo < hi").select("anchor")
-
-    def once(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from bitmaps.gather((np.asarray(b.column(0)) for b in arrow), ANCHOR_BITS)
-
-    [mixed] = bitmaps.build(several.mapInArrow(once, bitmaps.SCHEMA), ANCHOR_BITS, 1)
+    # anchors with several surroundings: only there do bytes have to meet, each fragment's from its smallest owner
+    several = cut(known.groupBy("anchor").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("n > 1 AND lo < hi").select("anchor", "n"))
+    mixed = cut(known.join(several, "anchor").select("fragment", "lo", "hi", (F.col("n") >= HOT_FRAGMENTS).alias("hot")))
+    senders = [_bitmap(_pairs(mixed.where(c)), MIXED_BITS) for c in ("lo = hi", "lo < hi", "hot")]
+    buckets = max(1, -(-mixed.count() // BUCKET_FRAGMENTS))
 
     names = ["deal", "anchor", "place", "piece", "fragment", "skip", "lo", "hi"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
 
     def pieces(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow, 1024):
-            seen: dict[int, list] = {}
+            rows, seen = [], set()
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for a, _, n, p, piece, k in _fragments(t.encode("utf-8", "replace"), length, mixed):
-                    s = seen.setdefault(k, [a, n, p, piece, d, d])
-                    s[4], s[5] = min(s[4], d), max(s[5], d)
-            rows = []
-            often = bitmaps.hits(hot, np.array([s[0] for s in seen.values()], np.int64)).tolist() if seen else []
-            for (k, (a, n, p, piece, lo, hi)), split in zip(seen.items(), often):
-                if not split:
-                    rows.append((a, a, p, piece, k, 0, lo, hi))
-                    continue
-                for i in range(n):
-                    part = piece[i : i + length]
-                    rows.append((xxhash.xxh3_64_intdigest(part) - 2**63, a, p - i, part, k, i, lo, hi))
+                data = t.encode("utf-8", "replace")
+                h, first, count, place, key = fragments(data, length, shared)
+                own = _joint(key, np.full(len(key), d, np.int64))
+                one, many, hot = (bitmaps.hits(b, own) if len(own) else np.zeros(0, bool) for b in senders)
+                for i in np.flatnonzero(one | many).tolist():
+                    k, f, n, p, a, owner = int(key[i]), int(first[i]), int(count[i]), int(place[i]), int(h[i]), (d, 2**62 if many[i] else d)
+                    if (k, d) in seen:
+                        continue
+                    seen.add((k, d))
+                    if hot[i]:
+                        # an anchor of very many surroundings is dealt by its stretches, so no bucket has to hold them all
+                        parts = [data[f + s : f + s + length] for s in range(n)]
+                        rows += [(xxhash.xxh3_64_intdigest(part) - 2**63, a, p - s, part, k, s, *owner) for s, part in enumerate(parts)]
+                    else:
+                        rows.append((a, a, p, data[f : f + n - 1 + length], k, 0, *owner))
             yield _batch(list(zip(*rows)) or [()] * 8, names, kinds)
 
     sent = read.mapInArrow(pieces, "deal long, anchor long, place int, piece binary, fragment long, skip int, lo long, hi long")
-    # equal parts of one fragment meet here for the first time: reduced before they are sorted
-    sent = cut(sent.groupBy("fragment", "skip").agg(F.first("deal").alias("deal"), F.first("anchor").alias("anchor"), F.first("place").alias("place"), F.first("piece").alias("piece"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
-    buckets = max(1, -(-sent.count() // BUCKET_FRAGMENTS))
 
     def sort(group: pa.Table) -> pa.Table:
         lo, hi = np.asarray(group.column("lo")), np.asarray(group.column("hi"))
@@ -219,41 +284,39 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
 
     sorted_ = sent.withColumn("bucket", F.pmod(F.xxhash64("deal"), F.lit(buckets))).groupBy("bucket").applyInArrow(sort, "fragment long, skip int, run int, least array<bigint>")
     # a fragment whose anchor has one surrounding is answered by its own smallest owner
-    alone = known.join(several, "anchor", "left_anti").where("lo < hi").select("fragment", F.lit(0).alias("skip"), F.lit(0).alias("run"), F.array("lo").alias("least"))
+    alone = known.where("lo < hi").join(several, "anchor", "left_anti").select("fragment", F.lit(0).alias("skip"), F.lit(0).alias("run"), F.array("lo").alias("least"))
     answers = cut(alone.union(sorted_))
-
-    def mark(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from bitmaps.gather((np.asarray(b.column(0)) for b in arrow), FRAGMENT_BITS)
-
-    [answered] = bitmaps.build(answers.select("fragment").mapInArrow(mark, bitmaps.SCHEMA), FRAGMENT_BITS, 1)
+    answered = _bitmap(answers.select("fragment"), FRAGMENT_BITS)
 
     def look_up(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow):
-            rows = []
+            columns: list[list[np.ndarray]] = [[] for _ in range(5)]
             for d, t, m in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                rows += [(d, m, k, f, n) for _, f, n, _, _, k in _fragments(t.encode("utf-8", "replace"), length, shared)]
-            columns = [np.array(c, np.int64) for c in (zip(*rows) if rows else [()] * 5)]
-            ok = bitmaps.hits(answered, columns[2]) if rows else np.zeros(0, bool)
-            yield _batch([c[ok] for c in columns], ["doc", "mark", "fragment", "at", "n"], [pa.int64()] * 5)
-
-    asked = read.mapInArrow(look_up, "doc long, mark long, fragment long, at long, n long").join(answers, "fragment").where("array_min(least) < doc")
+                _, first, count, _, key = fragments(t.encode("utf-8", "replace"), length, shared)
+                ok = bitmaps.hits(answered, key) if len(key) else np.zeros(0, bool)
+                n = int(ok.sum())
+                for c, x in zip(columns, (np.full(n, d), np.full(n, m), key[ok], first[ok], count[ok])):
+                    c.append(x)
+            yield _batch([np.concatenate(c) if c else [] for c in columns], ["doc", "mark", "fragment", "at", "n"], [pa.int64()] * 3 + [pa.int32()] * 2)
+
+    asked = read.mapInArrow(look_up, "doc long, mark long, fragment long, at int, n int").join(answers, "fragment").where("array_min(least) < doc")
     run = F.when(F.col("run") == 0, F.col("n")).otherwise(F.col("run"))
-    asked = asked.select("doc", "mark", F.struct((F.col("at") + F.col("skip")).alias("at"), run.cast("long").alias("n"), F.transform("least", lambda x: x < F.col("doc")).alias("gone")).alias("hit"))
-    return asked.groupBy("doc", "mark").agg(F.collect_set("hit").alias("hits"))
+    bit = lambda x, i: F.when(x < F.col("doc"), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
+    several_bits = F.aggregate(F.transform("least", bit), F.lit(0).cast("long"), lambda a, x: a + x)
+    bits_ = F.when(F.size("least") == 1, F.call_function("shiftleft", F.lit(1).cast("long"), run) - 1).otherwise(several_bits)
+    hit = F.call_function("shiftleft", (F.col("at") + F.col("skip")).cast("long"), F.lit(SPAN)) + bits_
+    return asked.select("doc", "mark", hit.alias("hit")).groupBy("doc", "mark").agg(F.collect_list("hit").alias("hits"))
 
 
-def _gone(size: int, hits: list[dict] | None, length: int) -> np.ndarray:
+def _gone(size: int, hits: list[int] | None, length: int) -> np.ndarray:
     """Which bytes go: those under a stretch that was found."""
     starts = np.zeros(size + 1, np.int64)
-    for hit in hits or ():
-        for i in range(hit["n"]) if len(hit["gone"]) > 1 else ():
-            if hit["gone"][i]:
-                starts[hit["at"] + i] += 1
-                starts[hit["at"] + i + length] -= 1
-        if len(hit["gone"]) == 1:
-            # stretches at, at + 1, .. cover one run of bytes
-            starts[hit["at"]] += 1
-            starts[hit["at"] + hit["n"] - 1 + length] -= 1
+    if hits:
+        found = np.array(hits, np.int64)
+        for i in range(SPAN):
+            at = (found[(found >> i) & 1 == 1] >> SPAN) + i
+            np.add.at(starts, at, 1)
+            np.add.at(starts, at + length, -1)
     return np.cumsum(starts[:-1]) > 0
 
 
