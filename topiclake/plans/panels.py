@@ -15,6 +15,7 @@ from topiclake.operators import metrics as M
 
 Matchers = list[tuple[str, str, str]]
 GROUP = M.GROUP
+# fixed values: the names of metrics, labels and panels below are those of the dashboards that are asked for
 FIELDS_NAMES = "kafka_tabletopic_fps_fields/s|kafka_tabletopic_fps_fields_per_second|kafka_tabletopic_fields_per_second"
 DEFAULT_LOOKBACK = "5m"
 

@@ -60,6 +60,8 @@ def _histogram(value: str, **labels: str) -> Source:
 
 _BY_TOPIC = {"job": JOB, "topic": TYPE, "partition": PARTITION, "instance": INSTANCE}
 
+# fixed values: names of metrics and labels that the panels ask for. Where a source has a condition, the rest of the rows
+# makes the side without a partner, which joins and ratios have to show.
 SOURCES: dict[str, Source] = {
     "demo_orders_total": _counter(region=REGION, channel=CHANNEL, status=TYPE),
     "demo_payment_failures_total": _counter(where="event_type = 'error'", region=REGION),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from topiclake.session import shared_dir
 from topiclake.sources import topics
 from topiclake.streaming import jobs
 from topiclake.table import LakeTable
+from topiclake.table.lake import ensure_table, list_tables
 
 # ---- keyed rows
 
@@ -142,21 +145,21 @@ def partition_counts(spark, sf_dir):
 
 @query(
     "compacted_partition_counts",
-    """SELECT cast((year(o_orderdate) - 1970) * 12 + month(o_orderdate) - 1 AS integer) AS month, cast(count(*) AS bigint) AS record_count
+    """SELECT cast(year(o_orderdate) - 1970 AS integer) AS year, cast(count(*) AS bigint) AS record_count
        FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1""",
 )
 def compacted_partition_counts(spark, sf_dir):
     """Live rows of a keyed, partitioned table that was written twice, lost some keys and was folded after each step."""
     orders = load(spark, sf_dir, "orders")
-    table = LakeTable(spark, shared_dir(spark, "live")).create(id_columns=["o_orderkey"], partition_by="[month(o_orderdate)]")
+    table = LakeTable(spark, shared_dir(spark, "live")).create(id_columns=["o_orderkey"], partition_by="[year(o_orderdate)]")
     table.upsert(orders.where(F.col("o_orderkey") % 3 == 0))
     table.compact()
     table.upsert(orders)
     gone = F.when(F.col("o_orderstatus") == "P", F.lit("d")).otherwise(F.lit("u"))
     table.upsert(orders.withColumn("op", gone), op="op")
     table.compact()
-    month = F.get_json_object("partition", "$.o_orderdate_month").cast("int").alias("month")
-    return table.partitions().groupBy(month).agg(F.sum("record_count").alias("record_count"))
+    year = F.get_json_object("partition", "$.o_orderdate_year").cast("int").alias("year")
+    return table.partitions().groupBy(year).agg(F.sum("record_count").alias("record_count"))
 
 
 @query(
@@ -374,3 +377,80 @@ def ingest_delay(spark, sf_dir):
     return table.ingest_delay().join(speed, "commit_id").groupBy("topic").agg(
         F.sum("fields_per_second").alias("fields"), F.every(F.col("delay_ms") > 0).alias("positive")
     )
+
+
+@query("ensured_table", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY l_returnflag")
+def ensured_table(spark, sf_dir):
+    """A table that is created once and found the second time."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")
+    path = shared_dir(spark, "ensured")
+    for part in (F.col("l_orderkey") % 2 == 0, F.col("l_orderkey") % 2 == 1):
+        ensure_table(spark, path, lines.schema, "[l_returnflag]").append(lines.where(part))
+    return LakeTable(spark, path).read().groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("listed_tables", "SELECT DISTINCT 'status_' || lower(o_orderstatus) AS name, 'MANAGED' AS table_type FROM orders")
+def listed_tables(spark, sf_dir):
+    """One catalog table for each order status, which there are a few of."""
+    space = f"listed_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {space}")
+    try:
+        for row in load(spark, sf_dir, "orders").select(F.lower("o_orderstatus").alias("s")).distinct().collect():
+            for _ in range(2):
+                ensure_table(spark, f"{space}.status_{row.s}", "o_orderkey bigint")
+        return list_tables(spark).where(F.col("namespace") == space).select("name", "table_type")
+    finally:
+        spark.sql(f"DROP DATABASE {space} CASCADE")
+
+
+@query("stream_latency", "SELECT event_type, count(*) AS n, true AS late FROM events GROUP BY event_type")
+def stream_latency(spark, sf_dir):
+    """Latency of every message of a stream; all of the given ones are old."""
+    schema = load(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = jobs.latency_stream(stream.withColumn("timestamp", F.col("ts").cast("timestamp")))
+    target = shared_dir(spark, "latency")
+    writer = stream.select("event_type", "latency_ms").writeStream.format("parquet").option("path", target)
+    _run(writer.option("checkpointLocation", shared_dir(spark, "checkpoint")).trigger(availableNow=True).start())
+    seen = spark.read.parquet(target)
+    return seen.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.every(F.col("latency_ms") > 0).alias("late"))
+
+
+@query(
+    "follow_keyed_table",
+    f"""SELECT (SELECT count(DISTINCT user_id) FROM events WHERE ts < TIMESTAMP '{HALF}') + (SELECT count(DISTINCT user_id) FROM events WHERE ts >= TIMESTAMP '{HALF}') AS changes,
+               (SELECT count(DISTINCT user_id) FROM events WHERE ts >= TIMESTAMP '{HALF}') AS after_restart""",
+)
+def follow_keyed_table(spark, sf_dir):
+    """Change rows of two upserts, a compaction between them; the follower restarts in between."""
+    source, target = (LakeTable(spark, shared_dir(spark, n)) for n in ("keyed", "changes"))
+    source.create(id_columns=["user_id"])
+    ckpt = shared_dir(spark, "checkpoint")
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        target.append(rows.select("user_id", F.col("_op").alias("op"), F.lit(batch_id).alias("batch")), stream=(ckpt, batch_id))
+
+    for part in _halves(spark, sf_dir):
+        source.upsert(part.select("user_id", "event_id", "ts"), order=["ts", "event_id"])
+        _run(jobs.follow_table(spark, source, sink, ckpt))
+        source.compact()
+    counts = target.refresh().read().groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.sum("n").alias("changes"), F.max_by("n", "batch").alias("after_restart"))
+
+
+@query("latest_restart", f"SELECT event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '{HALF}' GROUP BY event_type")
+def latest_restart(spark, sf_dir):
+    """A stream from ``latest`` sees what was written while it was stopped, but nothing from before its first start."""
+    log, ckpt, target = (shared_dir(spark, n) for n in ("log", "checkpoint", "fresh"))
+    old, new = _halves(spark, sf_dir)
+
+    def start() -> None:
+        stream = topics.read_topic_stream(spark, log, "events", starting="latest", checkpoint=ckpt)
+        writer = stream.select(F.col("key").cast("string").alias("event_type")).writeStream.format("parquet").option("path", target)
+        _run(writer.option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+
+    topics.write_topic(old, log, "events", "event_type", "props", timestamp="ts")
+    start()
+    topics.write_topic(new, log, "events", "event_type", "props")
+    start()
+    return spark.read.schema("event_type string").parquet(target).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))

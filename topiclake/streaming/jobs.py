@@ -19,6 +19,7 @@ from topiclake.operators.messaging import with_latency
 from topiclake.operators.projection import convert_schemaless, decode_json, flatten, flatten_debezium, select_fields
 from topiclake.table.lake import COMMIT_SCHEMA, LakeTable
 
+# fixed values: fields of the telemetry messages
 TELEMETRY_JSON = "iccid string, speed float, request int, response int"
 TELEMETRY_FIELDS = {
     "vin": "key",
