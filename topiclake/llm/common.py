@@ -32,7 +32,7 @@ def cut(df: DataFrame) -> DataFrame:
     """Write a result to the shared folder and read it again: lineage ends, and lost executors recompute nothing."""
     spark = df.sparkSession
     path = f"{shared_root(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topiclake.llm.bpe import batches
-from topiclake.llm.common import cut
+from topiclake.llm.common import SMALL_ROWS, cut, small
 
 #: Pages of one host that are aligned together, about; a host of more pages is dealt to several groups, whose votes add up.
 GROUP_PAGES = 32
@@ -312,11 +312,17 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]
     read = cut(read.mapInArrow(run, f"k {kinds[0]}, u {kinds[1]}, host string, blocks array<struct<text:string,key:bigint,main:boolean>>, skeleton string, mark bigint"))
     counts = read.groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("parts"))
-    dealt = read.select("host", "mark", "skeleton").join(counts, "host").withColumn("part", F.pmod(F.xxhash64("mark"), F.col("parts")))
+    dealt = read.select("host", "mark", "skeleton").join(small(counts), "host").withColumn("part", F.pmod(F.xxhash64("mark"), F.col("parts")))
     votes = dealt.select("host", "part", "mark", "skeleton").groupBy("host", "part").applyInArrow(_vote, "host string, key long, met long, same long")
     votes = votes.groupBy("host", "key").agg(F.sum("met").alias("met"), F.sum("same").alias("same"))
-    constant = votes.where((F.col("met") >= LEAST_PAGES) & (F.col("same") >= CONSTANT_SHARE * F.col("met"))).groupBy("host").agg(F.collect_list("key").alias("constant"))
-    out = read.select("k", "u", "host", "blocks").join(constant, "host", "left")
+    constant = cut(votes.where((F.col("met") >= LEAST_PAGES) & (F.col("same") >= CONSTANT_SHARE * F.col("met"))).select("host", "key"))
+    few = constant.count() <= SMALL_ROWS
+    constant = constant.groupBy("host").agg(F.collect_list("key").alias("constant"))
+    # pages that mark their article need no template, so only the others meet their host's
+    open_ = F.exists("blocks", lambda b: ~b["main"])
+    pages_ = read.select("k", "u", "host", "blocks")
+    met = pages_.where(open_).join(F.broadcast(constant) if few else constant, "host", "left")
+    out = met.select("k", "u", "blocks", "constant").union(pages_.where(~open_).select("k", "u", "blocks", F.lit(None).cast("array<bigint>")))
     kept = F.filter("blocks", lambda b: b["main"] | F.col("constant").isNull() | ~F.array_contains("constant", b["key"]))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return out.select(F.col("k").alias(key), F.col("u").alias(url), text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
