@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 SEGMENT_BITS = 20
 #: Values a task gathers before it sends what it has.
-FLUSH_VALUES = 2_000_000
+FLUSH_VALUES = 400_000
 SCHEMA = "segment int, places binary, counts binary"
 
 

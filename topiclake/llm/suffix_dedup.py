@@ -217,10 +217,10 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     bits = bitmaps.bits_for(anchor_count, ANCHOR_BITS)
 
     def owners(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = (np.unique(anchors(t.encode("utf-8", "replace"), length)[0]).view(np.int64) for b in batches(arrow) for t in b.column(1).to_pylist())
+        own = (np.unique(anchors(t.encode("utf-8", "replace"), length)[0]).view(np.int64) for b in batches(arrow) for t in b.column(0).to_pylist())
         yield from bitmaps.gather(own, bits)
 
-    [shared] = bitmaps.build(read.mapInArrow(owners, bitmaps.SCHEMA), bits, 2)
+    [shared] = bitmaps.build(read.select("text").mapInArrow(owners, bitmaps.SCHEMA), bits, 2)
 
     # one row per distinct fragment, with its smallest and largest owner; of the anchor 32 bits, which tell enough here
     def classes(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
