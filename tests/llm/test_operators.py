@@ -267,6 +267,23 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, limits):
     assert rows_of(suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string"))) == brute_spans(rows)
 
 
+def test_chance_hits_lose_no_match(spark, monkeypatch):
+    """Half of all places set by chance, as in a bitmap that is full: the result is the same."""
+    true_bitmap = suffix_dedup._bitmap
+
+    def crowded(values, most):
+        whole = true_bitmap(values, most).value
+        return spark.sparkContext.broadcast(whole | np.random.default_rng(len(whole)).integers(0, 256, len(whole), np.uint8))
+
+    monkeypatch.setattr(suffix_dedup, "_bitmap", crowded)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_FRAGMENTS", 20)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9)))
+    passages = [" ".join(word() for _ in range(14)) for _ in range(30)]
+    rows = [(i, " ".join(x for p in rng.sample(passages, 3) for x in (p, *[word() for _ in range(rng.randint(0, 6))]))) for i in range(90)]
+    assert rows_of(suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string"))) == brute_spans(rows)
+
+
 def test_cover_and_anchors():
     differences = {(a - b) % suffix_dedup.COVER_MOD for a in suffix_dedup.COVER for b in suffix_dedup.COVER}
     assert differences == set(range(suffix_dedup.COVER_MOD))

@@ -242,8 +242,10 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     known = cut(known)
     # anchors with several surroundings: only there do bytes have to meet, each fragment's from its smallest owner
     several = cut(known.groupBy("anchor").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("n > 1 AND lo < hi").select("anchor", "n"))
-    mixed = cut(known.join(several, "anchor").select("fragment", "lo", "hi", (F.col("n") >= HOT_FRAGMENTS).alias("hot")))
-    senders = [_bitmap(_pairs(mixed.where(c)), MIXED_BITS) for c in ("lo = hi", "lo < hi", "hot")]
+    mixed = cut(known.join(several.select("anchor"), "anchor").select("fragment", "lo", "hi"))
+    senders = [_bitmap(_pairs(mixed.where(c)), MIXED_BITS) for c in ("lo = hi", "lo < hi")]
+    # by anchor, so that a chance hit deals all fragments of its anchor alike and they still meet
+    stretched = _bitmap(several.where(F.col("n") >= HOT_FRAGMENTS).select(F.col("anchor").cast("long")), MIXED_BITS)
     buckets = max(1, -(-mixed.count() // BUCKET_FRAGMENTS))
 
     names = ["deal", "anchor", "place", "piece", "fragment", "skip", "lo", "hi"]
@@ -256,7 +258,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
                 data = t.encode("utf-8", "replace")
                 h, first, count, place, key = fragments(data, length, shared)
                 own = _joint(key, np.full(len(key), d, np.int64))
-                one, many, hot = (bitmaps.hits(b, own) if len(own) else np.zeros(0, bool) for b in senders)
+                one, many, hot = (bitmaps.hits(b, x) if len(own) else np.zeros(0, bool) for b, x in zip((*senders, stretched), (own, own, h >> 32)))
                 for i in np.flatnonzero(one | many).tolist():
                     k, f, n, p, a, owner = int(key[i]), int(first[i]), int(count[i]), int(place[i]), int(h[i]), (d, 2**62 if many[i] else d)
                     if (k, d) in seen:
