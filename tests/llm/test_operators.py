@@ -417,6 +417,14 @@ def test_template_of_unmarked_pages(spark):
     assert "Welcome" in got[100]  # copies of one page are no evidence for a template
 
 
+def test_copies_do_not_thin_out_a_template(spark):
+    page = "<html><body><div><p>Welcome to the site</p></div><div><p>Story {0} begins</p></div><div>All rights</div></body></html>"
+    rows = spark.createDataFrame([(i, f"https://h.example/{i}", page.format(f"n{i}")) for i in range(40)], "page_id long, url string, html string")
+    copies = spark.range(100, 100_100).select(F.col("id").alias("page_id"), F.lit("https://h.example/0").alias("url"), F.lit(page.format("n0")).alias("html"))
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(rows.union(copies)).where("page_id < 101").collect()}
+    assert all(got[i] == f"Story n{i} begins" for i in range(40)) and got[100] == "Story n0 begins"
+
+
 def test_simple_tree_matching():
     def size(a, b):
         shapes = {}

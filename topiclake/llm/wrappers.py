@@ -269,7 +269,6 @@ def _vote(group: pa.Table) -> pa.Table:
     """Of the pages of a group: per text node of the first page, how many pages were aligned with it and how many agreed."""
     host = group.column("host")[0].as_py()
     lines = [line for _, line in sorted(zip(group.column("mark").to_pylist(), group.column("skeleton").to_pylist()))]
-    lines = [line for i, line in enumerate(lines) if i == 0 or line != lines[i - 1]]
     shapes: dict = {}
     memory: dict = {}
     first = read_skeleton(lines[0], shapes)
@@ -311,8 +310,10 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
 
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]
     read = cut(read.mapInArrow(run, f"k {kinds[0]}, u {kinds[1]}, host string, blocks array<struct<text:string,key:bigint,main:boolean>>, skeleton string, mark bigint"))
-    counts = read.groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("parts"))
-    dealt = read.select("host", "mark", "skeleton").join(small(counts), "host").withColumn("part", F.pmod(F.xxhash64("mark"), F.col("parts")))
+    # copies of a page count once, before pages are counted and dealt
+    counts = read.select("host", "mark").distinct().groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("parts"))
+    different = read.select("host", "mark", "skeleton").dropDuplicates(["host", "mark"])
+    dealt = different.join(small(counts), "host").withColumn("part", F.pmod(F.xxhash64("mark"), F.col("parts")))
     votes = dealt.select("host", "part", "mark", "skeleton").groupBy("host", "part").applyInArrow(_vote, "host string, key long, met long, same long")
     votes = votes.groupBy("host", "key").agg(F.sum("met").alias("met"), F.sum("same").alias("same"))
     constant = cut(votes.where((F.col("met") >= LEAST_PAGES) & (F.col("same") >= CONSTANT_SHARE * F.col("met"))).select("host", "key"))
