@@ -417,6 +417,15 @@ def test_template_of_unmarked_pages(spark):
     assert "Welcome" in got[100]  # copies of one page are no evidence for a template
 
 
+def test_template_within_marked_articles(spark):
+    page = '<html><body><nav>{1}</nav><article><p>Read in <a href="/">our app</a> today</p><h1>Story {0}</h1><p>It <b>was</b> {0}</p><div>Pass it on</div></article></body></html>'
+    same = "<html><body><nav>{0}</nav><article><h1>One text</h1><p>on every page</p></article></body></html>"
+    rows = [(i, f"https://h.example/{i}", page.format(f"n{i}", i)) for i in range(20)] + [(100 + i, "https://s.example/", same.format(i)) for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Story n{i}\nIt was n{i}" for i in range(20))
+    assert all(got[100 + i] == "One text\non every page" for i in range(20))  # nothing else: the text itself is repeated
+
+
 def test_copies_do_not_thin_out_a_template(spark):
     page = "<html><body><div><p>Welcome to the site</p></div><div><p>Story {0} begins</p></div><div>All rights</div></body></html>"
     rows = spark.createDataFrame([(i, f"https://h.example/{i}", page.format(f"n{i}")) for i in range(40)], "page_id long, url string, html string")

@@ -116,36 +116,40 @@ def _text_key(path: str, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{path}\n{text}") - 2**63
 
 
-def blocks(root: Node) -> list[tuple[str, int, bool]]:
-    """Text blocks in page order: text, key of its place and text, whether it lies in an article.
+def blocks(root: Node) -> list[tuple[str, list[int], bool]]:
+    """Text blocks in page order: text, keys of its text nodes as in ``skeleton``, whether it lies in an article.
 
     What names itself menu, header, footer, sidebar, notice, advert, form, script, style or comments is left out. Where the
     page marks an article, only that counts.
     """
     found: dict[int, bool] = {}
     marked = _has_main(root, found)
-    out: list[tuple[str, int, bool]] = []
+    out: list[tuple[str, list[int], bool]] = []
     held: list[str] = []
+    keys: list[int] = []
 
-    def flush(path: str, main: bool) -> None:
+    def flush(main: bool) -> None:
         text = " ".join(entities.unescape("".join(held)).split())
-        held.clear()
         if text and (main or not marked):
-            out.append((text, _text_key(path, text), main))
+            out.append((text, keys[:], main))
+        held.clear()
+        keys.clear()
 
     stack: list[tuple] = [(root, "", False, False)]
     while stack:
         node, path, main, leaving = stack.pop()
         if leaving:
-            flush(path, main)
+            flush(main)
             continue
         if node.tag == "#text":
             held.append(node.text)
+            if text := " ".join(entities.unescape(node.text).split()):
+                keys.append(_text_key(path, text))
             continue
         here = main or (node.tag in MAIN and "comment" not in node.names)
         inner = f"{path}>{node.label}"
         if node.tag not in INLINE:
-            flush(path, main)
+            flush(main)
             stack.append((node, inner, here, True))
         elif node.tag in ("br", "wbr", "img"):
             held.append(" " if node.tag == "br" else "")
@@ -154,7 +158,7 @@ def blocks(root: Node) -> list[tuple[str, int, bool]]:
             if dropped or (not node.names.isdisjoint(SURROUNDINGS) and node.tag not in ("body", "html")):
                 continue
         stack += [(c, inner if node.tag not in INLINE else path, here, False) for c in reversed(node.children)]
-    flush("", False)
+    flush(False)
     return out
 
 
@@ -291,25 +295,26 @@ def host_of(url: Column) -> Column:
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per page: key, url, ``text`` and ``n_chars``.
 
-    Text nodes that aligned pages of a host share belong to its template; what varies is content. Within a marked article
-    everything that does not name itself a surrounding is content. A host with fewer than three different other pages in a
-    group has no template there. Null html counts as empty and gives an empty text; a null url has a host of its own
+    Text nodes that aligned pages of a host share belong to its template; what varies is content. That holds within a marked
+    article too, but one of which nothing would be left stays whole. Names only leave out more: what calls itself a
+    surrounding, and what lies outside a marked article. A host with fewer than three different other pages in a group has
+    no template there. Null html counts as empty and gives an empty text; a null url has a host of its own
     with all other null urls. Null keys and repeated rows are treated as any other page (equal pages count once for a
     template), other columns are not read, an empty table gives no rows.
     """
     read = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), host_of(F.col(url)).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item = pa.struct([("text", pa.string()), ("key", pa.int64()), ("main", pa.bool_())])
+        item = pa.struct([("text", pa.string()), ("keys", pa.list_(pa.int64())), ("main", pa.bool_())])
         for batch in batches(arrow):
             trees = [parse(h) for h in batch.column(3).to_pylist()]
-            found = [[{"text": t, "key": k, "main": m} for t, k, m in blocks(t)] for t in trees]
+            found = [[{"text": t, "keys": k, "main": m} for t, k, m in blocks(t)] for t in trees]
             bones = [skeleton(t) for t in trees]
             marks = [xxhash.xxh3_64_intdigest(b) - 2**63 for b in bones]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(item)), pa.array(bones, pa.string()), pa.array(marks, pa.int64())], ["k", "u", "host", "blocks", "skeleton", "mark"])
 
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]
-    read = cut(read.mapInArrow(run, f"k {kinds[0]}, u {kinds[1]}, host string, blocks array<struct<text:string,key:bigint,main:boolean>>, skeleton string, mark bigint"))
+    read = cut(read.mapInArrow(run, f"k {kinds[0]}, u {kinds[1]}, host string, blocks array<struct<text:string,keys:array<bigint>,main:boolean>>, skeleton string, mark bigint"))
     # copies of a page count once, before pages are counted and dealt
     counts = read.select("host", "mark").distinct().groupBy("host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("parts"))
     different = read.select("host", "mark", "skeleton").dropDuplicates(["host", "mark"])
@@ -319,11 +324,11 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     constant = cut(votes.where((F.col("met") >= LEAST_PAGES) & (F.col("same") >= CONSTANT_SHARE * F.col("met"))).select("host", "key"))
     few = constant.count() <= SMALL_ROWS
     constant = constant.groupBy("host").agg(F.collect_list("key").alias("constant"))
-    # pages that mark their article need no template, so only the others meet their host's
-    open_ = F.exists("blocks", lambda b: ~b["main"])
-    pages_ = read.select("k", "u", "host", "blocks")
-    met = pages_.where(open_).join(F.broadcast(constant) if few else constant, "host", "left")
-    out = met.select("k", "u", "blocks", "constant").union(pages_.where(~open_).select("k", "u", "blocks", F.lit(None).cast("array<bigint>")))
-    kept = F.filter("blocks", lambda b: b["main"] | F.col("constant").isNull() | ~F.array_contains("constant", b["key"]))
+    met = read.select("k", "u", "host", "blocks").join(F.broadcast(constant) if few else constant, "host", "left")
+    # a block is the template's if all its text nodes are; an article that would lose every block is a repeated text, no template
+    voted = F.filter("blocks", lambda b: ~F.forall(b["keys"], lambda k: F.array_contains("constant", k)))
+    out = met.select("k", "u", "blocks", F.when(F.col("constant").isNull(), F.col("blocks")).otherwise(voted).alias("voted"))
+    whole = (F.size("voted") == 0) & F.exists("blocks", lambda b: b["main"])
+    kept = F.when(whole, F.col("blocks")).otherwise(F.col("voted"))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return out.select(F.col("k").alias(key), F.col("u").alias(url), text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
