@@ -382,6 +382,31 @@ def test_secrets_found_and_redacted(spark):
     assert {r["doc_id"]: r["text"] for r in clean.collect()}[1003] == dict((r[0], r[1]) for r in rows)[1003]
 
 
+BARE = [
+    ("AWS_ACCESS_KEY_ID=", "AKIA" + "IOSFODNN7EXAMPL1"), ("api_key=", "sk_live_" + "4eC39HqLyjWDarjtT1zd"), ("https://x.example/cb?token=", "ghp_" + "a1B2" * 9),
+    ("MY_SERVICE_PRODUCTION_DATABASE_ADMIN_ACCOUNT_PASSWORD=", "hunter2hunter2hunter2"), ("password: ", "tr0ub4dor&3horse"), ("id ", "AKIA" + "ABCDEFGHIJKLMNOP"),
+    ("bot ", "xoxb-" + "abcdefghij"), ("maps ", "AIza" + "abcdE" * 7), ("--session-key=", "sk_test_" + "abcdefghijklmnopqr"), ("jwt ", "eyJhbGciOi.eyJzdWIiOi.c2lnbmF0dXJl"),
+    ("export DB_PASSWORD=", "h4nter2&m0re!stuff"), ("config key_", "a" * 50 + "9f8e7d6c5b4a"),
+]
+
+
+def test_unquoted_secrets(spark):
+    rows = [(i, f"some words before {name}{value} and after", "s") for i, (name, value) in enumerate(BARE)]
+    rows += [(100 + i, f"call {10**15 + 7919 * i} or mail some.long.name.{i}@mail.example.com", "s") for i in range(40)]
+    rows += [(200, "https://x.example/?token=abcd1234efgh&user=somebody", "s"), (300, "password=" + "x&y" * 60_000, "s"), (301, "token-" * 30_000, "s"), (302, "eyJ-" * 50_000, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.scan(df).collect()
+    got = {r["doc"]: (r["value"], r["secret"]) for r in found if r["doc"] < 100 and r["value"] in BARE[r["doc"]][1]}
+    assert {k: v[0] for k, v in got.items()} == {i: v for i, (_, v) in enumerate(BARE[:-1])}
+    assert all(v[1] for v in got.values())
+    assert [r["value"] for r in found if r["doc"] == 11] == ["key_" + BARE[11][1]]  # a first digit after more than 40 characters
+    assert [len(r["value"]) for r in found if r["doc"] == 300] == [180_000]
+    assert "abcd1234efgh" in [r["value"] for r in found if r["doc"] == 200]
+    assert not any(r["secret"] for r in found if 100 <= r["doc"] < 200)
+    text = {r[0]: r[1] for r in rows}
+    assert all(text[r["doc"]][r["start"] : r["start"] + len(r["value"])] == r["value"] for r in found)
+
+
 def test_forest_from_given_findings(spark):
     df = spark.createDataFrame([(i, f'token = "{i:04d}abcdef0123456789abcdef"', "p") for i in range(40)] + [(100 + i, f"number 12345678901234{i:04d} here", "p") for i in range(40)], "doc_id long, text string, source string")
     found = secrets.candidates(df)

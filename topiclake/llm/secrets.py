@@ -10,17 +10,27 @@ from pyspark.sql import functions as F
 
 from topiclake.llm.common import cut, small
 
-#: A candidate: a run of key characters with a digit, or of a known issuer's form. Nothing is cut off at its end.
-_RUN = r"(?=[A-Za-z+/_.=~-]{0,40}+[0-9])[A-Za-z0-9+/_=~.-]{16,}"
-_VALUE = r"""[^\s"'<>]{8,}(?=["'])"""
-_NAMED = r"""(?i:passw(?:or)?d|pwd|secret|token|api_?key)["']?[ ]?[:=][ ]?["']"""
-CANDIDATE = rf"(?<![A-Za-z0-9+/_=~.-])(?:{_RUN})|{_NAMED}{_VALUE}"
+# Forms of known issuers.
+_ISSUER = r"(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|(?<![_-])eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]+"
+#: Also inside a longer value, where it begins a word.
+ISSUED = rf"(?<![A-Za-z0-9])(?:{_ISSUER})"
+#: A candidate: what something named as a credential is set to, a run of key characters with a digit, or of a known
+#: issuer's form. Nothing is cut off at its end.
+_RUN = r"(?=[A-Za-z+/_.=~-]*+[0-9])[A-Za-z0-9+/_=~.-]{16,}"
+_KEYWORD = r"(?i:passw(?:or)?d|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key)"
+_NAMED = rf"""(?<![A-Za-z0-9_.-])[A-Za-z0-9_.-]*?{_KEYWORD}[A-Za-z0-9_-]{{0,64}}+["']?[ ]?[:=][ ]?"""
+_QUOTED = r"""[^\s"'<>]{8,}(?=["'])"""
+#: Up to white space, a quote or the next parameter of an address.
+_BARE = r"""(?!=|//)(?:(?!&[A-Za-z0-9_.-]*+=)[^\s"'<>]){8,}+"""
+CANDIDATE = rf"""{_NAMED}(?:["']{_QUOTED}|{_BARE})|(?<![A-Za-z0-9+/_=~.-])(?:{_RUN})|{ISSUED}"""
+#: What stands before the value in a candidate: such a name, or any other (of a few digits at most) and its sign.
+_NAME = rf"""^(?:{_NAMED}(?:["']|(?=[^\s"'<>=]))|-{{0,2}}+(?=[A-Za-z_])(?:[A-Za-z_.-]*+[0-9]){{0,3}}+[A-Za-z_.-]*+=(?=[^=]))"""
 #: Characters of context before and after a candidate.
 BEFORE, AFTER = 64, 32
-# Words near real secrets, words near other long strings, forms of known issuers, paths of examples and of settings.
+# Words near real secrets, words near other long strings, a credential's name and sign, paths of examples and of settings.
 CREDENTIAL = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer)"
 DIGEST = r"(?i)(sha-?\d*|md5|checksum|digest|commit|etag|uuid|guid|revision|hash|version|isbn|phone|tel|call)"
-ISSUED = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9-]{10,}$|^sk_(live|test)_[A-Za-z0-9]{16,}$|^AIza[A-Za-z0-9_-]{35}$|^eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+$"
+SET = rf"""{_KEYWORD}[A-Za-z0-9_-]*["']?[ ]?[:=][ ]?$"""
 EXAMPLE_PATH = r"(?i)(test|example|sample|mock|fixture|doc|demo|tutorial)"
 SETTINGS_PATH = r"(?i)(\.env|config|settings|secret|credential|deploy|\.pem|\.ya?ml|\.ini|\.properties)"
 #: The documents that make a run of letters a word of the dictionary.
@@ -45,7 +55,7 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
     read = read.select("doc", "path", "mark", F.regexp_extract_all("t", F.lit(CANDIDATE), F.lit(0)).alias("found"), "between").withColumn("row", F.monotonically_increasing_id())
     each = F.arrays_zip(F.col("between").alias("b"), F.col("found").alias("v"), F.slice("between", F.lit(2), F.size("between")).alias("a"))
     # a value that is named in front of it travels with its name up to here
-    name = lambda v: F.regexp_extract(v, f"^{_NAMED}", 0)
+    name = lambda v: F.regexp_extract(v, _NAME, 0)
     short = F.transform(
         each,
         lambda z: F.struct(
@@ -105,14 +115,18 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
 def weak_labels(described: DataFrame) -> DataFrame:
     """Findings with a ``label`` where two plain rules are sure of it: for tables without findings that people labelled.
 
-    1: an issuer's form, or a mixed value that is assigned, in quotes, to something named as a credential. 0: no such name
-    near, and a number, an address, or mostly words or one kind of characters. All others have no label and are left out.
+    1: an issuer's form, or a mixed value that is assigned to something named as a credential, in quotes or right behind the
+    name. 0: no such name near, and a number, an address, or mostly words or one kind of characters; or a bare value of words
+    alone. All others have no label and are left out.
     """
-    sure = (F.col("issued") == 1) | ((F.col("near_credential") == 1) & (F.col("assigned") == 1) & (F.col("quoted") == 1) & (F.col("digit_share") > 0.1) & (F.col("digit_share") < 0.9))
     number = F.col("digit_share") + F.col("symbol_share") > 0.95
     address = F.col("value").rlike(r"^[\w.-]+\.[A-Za-z]{2,}$") | F.col("before").rlike(r"@$") | F.col("after").rlike("^@")
+    bare = F.coalesce(F.col("before").rlike(SET), F.lit(False))
+    mixed = (F.col("near_credential") == 1) & (F.col("assigned") == 1) & (F.col("digit_share") > 0.1) & (F.col("digit_share") < 0.9)
+    sure = (F.col("issued") == 1) | (mixed & ((F.col("quoted") == 1) | (bare & ~address & ~number & (F.col("coverage") <= 0.5))))
+    prose = bare & (F.col("digit_share") == 0) & (F.col("coverage") > 0.5)
     plain = (F.col("near_credential") == 0) & (F.col("issued") == 0) & (number | address | (F.col("coverage") > 0.5) | (F.col("class_changes") < 0.12) | (F.col("assigned") == 0))
-    return described.withColumn("label", F.when(sure, 1.0).when(plain, 0.0)).where("label IS NOT NULL")
+    return described.withColumn("label", F.when(sure, 1.0).when(plain | prose, 0.0)).where("label IS NOT NULL")
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> RandomForestClassificationModel | None:
