@@ -67,6 +67,23 @@ def test_avro_topic_to_partitioned_table_and_restart(spark):
     assert rate == 20 * 12
 
 
+def test_undecodable_messages_are_kept_aside(spark):
+    row = "struct<id:int,v:string>"
+    log = shared_dir(spark, "log")
+    envelope = '{"after": {"id": %d, "v": "x"}, "op": "c", "ts_ms": 1}'
+    df = spark.createDataFrame([("a", envelope % 1), ("b", "{broken"), ("c", envelope % 2), ("d", None)], "k string, v string")
+    topics.write_topic(df, log, "c", "k", "v")
+    table = LakeTable(spark, shared_dir(spark, "changes"))
+    options = {"convert.value.type": "json", "json.schema": f"before {row}, after {row}, op string, ts_ms bigint", "transform.value.type": "flatten_debezium", "id.columns": "[id]", "cdc.field": "_cdc.op"}
+    source, ckpt = topics.read_topic_stream(spark, log, "c"), shared_dir(spark, "ckpt")
+    for _ in range(2):
+        run(jobs.ingest_topic(spark, source, table, options, ckpt, topic="c", once=True))
+    assert {r.id for r in table.refresh().read().collect()} == {1, 2}
+    aside = table.undecoded().read().collect()
+    assert [bytes(r.value) for r in aside] == [b"{broken"] and aside[0].offset is not None
+    assert [(r.decoded_count, r.undecoded_count) for r in table.commits().where("operation = 'cdc'").collect()] == [(3, 1)]
+
+
 def test_protobuf_topic_upsert(spark):
     log = shared_dir(spark, "log")
     reg = supplier_registry(spark)

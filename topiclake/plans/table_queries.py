@@ -296,6 +296,25 @@ def stream_avro_to_table(spark, sf_dir):
     return table.refresh().read(["o_orderkey", "status", "o_totalprice", "placed", "priority"])
 
 
+@query(
+    "stream_mixed_to_table",
+    """SELECT count(*) FILTER (o_orderkey % 10 > 1) AS decoded, count(*) FILTER (o_orderkey % 10 <= 1) AS undecoded,
+         count(*) FILTER (o_orderkey % 10 > 1) AS kept, count(*) FILTER (o_orderkey % 10 <= 1) AS aside FROM orders""",
+)
+def stream_mixed_to_table(spark, sf_dir):
+    """A topic with broken bytes and unknown schema ids: what the commits count, and what table and side table hold."""
+    log = shared_dir(spark, "topic")
+    broken = F.when(F.col("o_orderkey") % 10 == 0, F.lit(b"??")).when(F.col("o_orderkey") % 10 == 1, F.concat(F.lit(b"\x00\x00\x00\xff\xff"), F.substring("value", 6, 1 << 30)))
+    topics.write_topic(order_topic(spark, sf_dir).withColumn("value", broken.otherwise(F.col("value"))), log, "orders", "o_orderkey", "value")
+    table = LakeTable(spark, shared_dir(spark, "orders"))
+    options = {"convert.value.type": "by_schema_id", "transform.value.type": "flatten"}
+    source = topics.read_topic_stream(spark, log, "orders", max_per_batch=2)
+    _run(jobs.ingest_topic(spark, source, table, options, shared_dir(spark, "checkpoint"), order_registry(spark), "orders", once=True))
+    kept = table.refresh().read().agg(F.count("*").alias("kept"))
+    aside = table.undecoded().read().agg(F.count_distinct("partition", "offset").alias("aside"))
+    return table.commits().agg(F.sum("decoded_count").alias("decoded"), F.sum("undecoded_count").alias("undecoded")).crossJoin(kept).crossJoin(aside)
+
+
 @query("stream_cdc_to_table", _FINAL)
 def stream_cdc_to_table(spark, sf_dir):
     """JSON change envelopes through a topic into a keyed table, in several micro-batches."""

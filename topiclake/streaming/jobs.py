@@ -30,6 +30,7 @@ TELEMETRY_FIELDS = {
     "event_timestamp": "timestamp",
 }
 _META = ["_timestamp", "_partition", "_offset"]
+_SIDE = ["_raw", "_bad"]
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: str | None) -> StreamingQuery:
@@ -107,7 +108,7 @@ def convert(df: DataFrame, options: dict, registry: DataFrame | None) -> DataFra
     """Decode ``value`` as the topic options say; message columns stay under ``_`` names."""
     kind = options.get("convert.value.type", "raw")
     named = df.withColumnsRenamed({"timestamp": "_timestamp", "partition": "_partition", "offset": "_offset"})
-    keep = named.select("key", "value", *_META)
+    keep = named.select("key", "value", *_META, *[c for c in _SIDE if c in named.columns])
     if kind == "raw":
         return convert_schemaless(keep.withColumn("timestamp", F.col("_timestamp")), keep=_META)
     if kind == "json":
@@ -123,7 +124,7 @@ def transform(df: DataFrame, options: dict) -> DataFrame:
     kind = options.get("transform.value.type", "none")
     if kind == "none":
         return df
-    df = df.where(F.col("value").isNotNull())  # undecodable messages have no row
+    df = df.where(F.col("value").isNotNull())  # undecodable messages have no row here, but in the side table
     if kind == "flatten":
         return flatten(df, keep=_META)
     if kind == "flatten_debezium":
@@ -145,18 +146,42 @@ def ingest_batch(
     stream: tuple[str, int] | None = None,
     topic: str | None = None,
 ) -> int:
-    """Decode, flatten and commit one batch of messages."""
-    rows = transform(convert(batch, options, registry), options)
+    """Decode, flatten and commit one batch of messages.
+
+    Messages whose value cannot be decoded go to ``table.undecoded()`` first; the commit holds the number of either kind.
+    """
+    if options.get("convert.value.type", "raw") == "raw":
+        return _commit_rows(transform(convert(batch, options, registry), options), table, options, stream, topic)
+    flag = F.lit(False)
+    if options["convert.value.type"] == "json":
+        broken = F.from_json(F.col("value").cast("string"), f"{options['json.schema']}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
+        flag = F.coalesce(broken["_broken"].isNotNull(), F.lit(False))
+    decoded = convert(batch.withColumns({"_raw": F.col("value"), "_bad": flag}), options, registry).persist()
+    try:
+        # a null value is a tombstone to a change feed; where rows are flattened it is a message without a row
+        unread = F.col("value").isNull() & (F.col("_raw").isNotNull() | F.lit(options.get("transform.value.type") == "flatten"))
+        bad = F.col("_bad") | unread
+        n, lost = decoded.agg(F.count("*"), F.count_if(bad)).first()
+        if lost:
+            side = decoded.where(bad).select("key", F.col("_raw").alias("value"), *[F.col(c).alias(c[1:]) for c in _META])
+            table.undecoded().append(side, stream=stream, topic=topic)
+        rows = transform(decoded.drop(*_SIDE), options)
+        return _commit_rows(rows, table, options, stream, topic, {"decoded_count": n - lost, "undecoded_count": lost})
+    finally:
+        decoded.unpersist()
+
+
+def _commit_rows(rows: DataFrame, table: LakeTable, options: dict, stream: tuple[str, int] | None, topic: str | None, counts: dict | None = None) -> int:
     ids = _list(options.get("id.columns"))
     cdc = options.get("cdc.field")
     if cdc or options.get("upsert.enable"):
         rows = rows.withColumn("_message_ts", F.col("_timestamp"))
-        kw = {"stream": stream, "topic": topic, "message_ts": "_message_ts"}
+        kw = {"stream": stream, "topic": topic, "message_ts": "_message_ts", "counts": counts}
         if cdc:
             return table.apply_changes(rows, ids, _META, op_col=cdc, **kw)
         return table.upsert(rows, ids, _META, **kw)
     rows = rows.withColumn("_message_ts", F.col("_timestamp")).drop(*_META)
-    return table.append(rows, stream=stream, topic=topic, message_ts="_message_ts")
+    return table.append(rows, stream=stream, topic=topic, message_ts="_message_ts", counts=counts)
 
 
 def ingest_topic(

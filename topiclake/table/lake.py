@@ -30,7 +30,8 @@ COMMIT_SCHEMA = (
     "parent_id bigint, committed_at timestamp, operation string, topic string, stream_id string, batch_id bigint, "
     "spec_id int, partition_by array<string>, id_columns array<string>, key_buckets int, schema_json string, "
     "record_count bigint, max_message_ts timestamp, options map<string,string>, live_from bigint, "
-    "folded_to bigint, base_default bigint, bucket_base map<string,bigint>, compacted array<bigint>, specs map<string,string>, streams map<string,bigint>"
+    "folded_to bigint, base_default bigint, bucket_base map<string,bigint>, compacted array<bigint>, specs map<string,string>, streams map<string,bigint>, "
+    "decoded_count bigint, undecoded_count bigint"
 )
 ORDER_TYPE = "struct<ts:timestamp,partition:int,offset:bigint>"
 DEFAULT_KEY_BUCKETS = 64
@@ -148,7 +149,7 @@ class LakeTable:
         commit_id = state["commit_id"] + 1
         record = {
             **{k: v for k, v in state.items() if k != "commit_id"},
-            "topic": None, "stream_id": None, "batch_id": None, "max_message_ts": None,
+            "topic": None, "stream_id": None, "batch_id": None, "max_message_ts": None, "decoded_count": None, "undecoded_count": None,
             "parent_id": state["commit_id"] if state["commit_id"] >= 0 else None,
             "committed_at": datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
             "operation": operation, "record_count": rows, **extra,
@@ -266,7 +267,7 @@ class LakeTable:
         writer.parquet(self._data_dir(state["spec_id"], state["commit_id"] + 1))
         return seen.get
 
-    def _write(self, df: DataFrame, operation: str, stream: tuple[str, int] | None, topic: str | None, message_ts: str | None) -> int:
+    def _write(self, df: DataFrame, operation: str, stream: tuple[str, int] | None, topic: str | None, message_ts: str | None, counts: dict | None = None) -> int:
         state = self._state()
         if stream is not None and stream[1] <= state["streams"].get(stream[0], -1):
             return state["commit_id"]  # this micro-batch was committed before a restart
@@ -283,7 +284,7 @@ class LakeTable:
             observe = [F.max(F.unix_millis(F.col(message_ts).cast("timestamp"))).alias("max_ms")]
         seen = self._write_files(df, state, observe)
         rows = seen.get("rows") or 0
-        extra = {"topic": topic}
+        extra = {"topic": topic, **(counts or {})}
         if seen.get("max_ms") is not None:
             extra["max_message_ts"] = datetime.fromtimestamp(seen["max_ms"] / 1000, timezone.utc).isoformat(timespec="milliseconds")
         if stream is not None:
@@ -297,13 +298,13 @@ class LakeTable:
     def _mark_spec(state: dict) -> None:
         state["specs"] = {**state["specs"], str(state["spec_id"]): "\n".join(state["partition_by"])}
 
-    def append(self, df: DataFrame, stream: tuple[str, int] | None = None, topic: str | None = None, message_ts: str | None = None) -> int:
+    def append(self, df: DataFrame, stream: tuple[str, int] | None = None, topic: str | None = None, message_ts: str | None = None, counts: dict | None = None) -> int:
         """Add rows. ``stream`` is ``(stream id, batch id)``: a batch commits only once."""
         if RESERVED & set(df.columns):
             raise ValueError(f"reserved column names: {sorted(RESERVED & set(df.columns))}")
         if self._state()["id_columns"]:
-            return self.upsert(df, stream=stream, topic=topic, message_ts=message_ts)
-        return self._write(df, "append", stream, topic, message_ts)
+            return self.upsert(df, stream=stream, topic=topic, message_ts=message_ts, counts=counts)
+        return self._write(df, "append", stream, topic, message_ts, counts)
 
     def upsert(
         self,
@@ -315,6 +316,7 @@ class LakeTable:
         topic: str | None = None,
         message_ts: str | None = None,
         operation: str = "upsert",
+        counts: dict | None = None,
     ) -> int:
         """Write change rows; ``order`` is up to (timestamp, partition, offset) columns.
 
@@ -338,12 +340,16 @@ class LakeTable:
         changes = df.withColumns({"_op": operation_col, "_ord": ordering})
         changes = changes.drop(*(hidden - {"_op", "_ord", "_message_ts"}))
         changes = latest_by_key(changes, keys, ["_ord"])
-        return self._write(changes, operation, stream, topic, message_ts)
+        return self._write(changes, operation, stream, topic, message_ts, counts)
 
     def apply_changes(self, df: DataFrame, id_columns: list[str] | None = None, order: list[str | Column] | None = None, op_col: str = "_cdc.op", **kw) -> int:
         """Apply a change feed: ``c``, ``r`` and ``u`` set the row, ``d`` removes it."""
         return self.upsert(df, id_columns, order, op=op_col, operation="cdc", **kw)
 
+    def undecoded(self) -> LakeTable:
+        """The side table of messages whose value could not be decoded: key, value, timestamp, partition, offset."""
+        return LakeTable(self.spark, f"{self.path}/undecoded")
+
     def _bucket(self, keys: list[str]) -> Column:
         return F.pmod(F.xxhash64(*keys), F.lit(self._state()["key_buckets"])).cast("int")
 
