@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.llm import bpe, language, neighbours, ngram_join, packing, quality, secrets, suffix_dedup, toxicity, wrappers
+from topiclake.llm import bpe, chunked_bpe, language, neighbours, ngram_join, packing, quality, secrets, suffix_dedup, toxicity, wrappers
 from topiclake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -101,3 +102,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "labels", ["doc_id", "toxic"])
     model = toxicity.train(docs.where(learned), labels.where(learned))
     return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op12_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunked_bpe.digests(table(spark, sf_dir, "documents"), RANKS)
