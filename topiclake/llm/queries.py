@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclake.llm import bpe, chunked_bpe, language, neighbours, ngram_join, packing, quality, ranked, secrets, suffix_dedup, toxicity, wrappers
+from topiclake.llm import bpe, chunked_bpe, hard_negatives, language, neighbours, ngram_join, packing, quality, ranked, secrets, suffix_dedup, toxicity, wrappers
 from topiclake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,18 @@ def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.digests(table(spark, sf_dir, "documents"), RANKS)
+
+
+CHECKS["op13_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b)::INTEGER AS rank, n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score QUALIFY rank <= 3"""
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=moved)
