@@ -208,6 +208,14 @@ def test_keep_one(spark):
     assert rows_of(ngram_join.keep_one(df).select("doc_id", "cls")) == [(1, "y"), (2, "z"), (None, None)]
 
 
+def test_keep_one_of_repeated_keys(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(50)) for c in "wv")
+    rows = [(5, text), (5, text), (5, other), (1, text + " more"), (9, other), (9, other + " more"), (7, None), (7, None), (None, text), (None, text)]
+    kept = rows_of(ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [r for r in kept if r[0] is None] == [(None, text)] * 2 and (1, text + " more") in kept and (7, None) in kept
+    assert (5, text) not in kept and sum(r[1] is not None and r[1].startswith("v") for r in kept) == 1 and len(kept) == 5
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(i, i + 1) for i in range(100, 140)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(500, k) for k in range(200, 300)]

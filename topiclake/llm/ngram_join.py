@@ -302,10 +302,26 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id",
     return out.select(key, "n_shingles", F.coalesce("component", key).alias("component_id"))
 
 
+#: Above all usual keys: where the further texts of repeated keys are numbered from.
+FURTHER = 1 << 62
+
+
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component, that of the smallest id, with its columns; null keys stay.
 
-    Of rows that repeat a kept key, all stay: a later step may tell them apart.
+    A document is a key with a text. Rows that repeat both are one, and any of them stays. Different texts under one key
+    go or stay each for itself: the one of the smallest hash has the key's place, the others rank behind all other keys.
     """
-    gone = join(docs, size, percent, key, text).where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    known = docs.select(F.col(key).cast("long").alias("_k")).where("_k IS NOT NULL")
+    repeated = cut(known.groupBy("_k").agg(F.count("*").alias("n")).where("n > 1").select("_k"))
+    if repeated.isEmpty():
+        gone = join(docs, size, percent, key, text).where(F.col(key) != F.col("component_id")).select(key).distinct()
+        return docs.join(gone, key, "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).cast("long").alias("_k"), F.col(text).alias("_t"))
+    again = rows.join(small(repeated), "_k", "left_semi").dropDuplicates(["_k", "_t"])
+    again = cut(again.select("_row", "_k", "_t", F.monotonically_increasing_id().alias("_i")))
+    first = again.groupBy("_k").agg(F.min_by("_i", F.struct(F.xxhash64("_t"), "_i")).alias("_first"))
+    further = again.join(first, "_k").select("_row", F.when(F.col("_i") == F.col("_first"), F.col("_k")).otherwise(F.col("_i") + FURTHER).alias("_k"), "_t")
+    nodes = rows.join(small(repeated), "_k", "left_anti").select("_row", "_k", "_t").union(further)
+    gone = join(nodes, size, percent, "_k", "_t").where("_k <> component_id").select("_k").distinct()
+    return nodes.join(gone, "_k", "left_anti").select("_row.*")
