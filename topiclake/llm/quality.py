@@ -94,4 +94,5 @@ ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that pass, with their columns as they were."""
     verdict = measure(docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias(text)), text)
-    return verdict.where("kept").select("_row.*")
+    # a plain filter would be moved below the projections, with everything that it rests on worked out again for each use
+    return verdict.select("_row", F.explode(F.array("kept")).alias("kept")).where("kept").select("_row.*")
