@@ -24,9 +24,9 @@ def slots(values: np.ndarray, bits: int) -> np.ndarray:
     return ((values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def bits_for(values: int, most: int) -> int:
-    """Size of a bitmap for so many values, about four places each, within the bound ``most``."""
-    return min(most, max(SEGMENT_BITS, (4 * values - 1).bit_length()))
+def bits_for(values: int, most: int, places: int = 4) -> int:
+    """Size of a bitmap for so many values, about ``places`` places each, within the bound ``most``."""
+    return min(most, max(SEGMENT_BITS, (places * values - 1).bit_length()))
 
 
 def _send(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -39,13 +39,13 @@ def _send(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["segment", "places", "counts"])
 
 
-def gather(owned: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    """What a task knows of its values, given the distinct 64-bit values of each owner (a document, a group)."""
+def send(used: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """What a task knows of its values, given slots, those of each owner (a document, a group) once."""
     parts, held = [], 0
-    for values in owned:
-        if len(values):
-            parts.append(np.unique(slots(values, bits)))
-            held += len(parts[-1])
+    for places in used:
+        if len(places):
+            parts.append(places)
+            held += len(places)
         if held >= FLUSH_VALUES:
             yield from _send(parts)
             parts, held = [], 0
@@ -53,6 +53,11 @@ def gather(owned: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
         yield from _send(parts)
 
 
+def gather(owned: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """What a task knows of its values, given the 64-bit values of each owner."""
+    return send(np.unique(slots(values, bits)) for values in owned if len(values))
+
+
 def build(gathered: DataFrame, bits: int, *owners: int) -> list[Broadcast]:
     """For each number (up to 255) a bitmap of the slots that so many owners use at least, from rows made by ``gather``.
 

@@ -27,10 +27,14 @@ SPAN = 31
 #: Most places of the bitmaps that spare anchors of one document, fragments that need not be compared or were sent by
 #: another owner, and fragments without an answer the way through a shuffle; smaller inputs take smaller ones.
 ANCHOR_BITS, MIXED_BITS, FRAGMENT_BITS = 28, 26, 26
+#: Places a value in the bitmaps that follow the one of anchors: what passes them by chance is sent and sorted in vain.
+PLACES = 16
 #: An anchor of so many different surroundings is dealt by its stretches rather than as one bucket.
-HOT_FRAGMENTS = 2000
+HOT_FRAGMENTS = 20_000
 #: Fragments of a bucket, about; a task sorts one bucket and one alignment at a time.
 BUCKET_FRAGMENTS = 20_000
+#: Bytes of texts that are hashed together: so many that work per text hardly counts, so few that a processor keeps them near.
+TOGETHER = 1 << 16
 # A difference cover; any two residues have a cover residue at the same distance behind both.
 COVER_MOD, COVER = 13, (0, 1, 3, 9)
 
@@ -66,12 +70,23 @@ def gram_hashes(text: np.ndarray, q: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a text: anchor hashes, first stretch that has the anchor, number of such stretches, place of the anchor."""
+def joined(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Texts in runs of some bytes: number of the first, bytes of all, and where each ends."""
+    held, size, first = [], 0, 0
+    for i, text in enumerate(texts):
+        held.append(text.encode("utf-8", "replace"))
+        size += len(held[-1])
+        if size >= TOGETHER or i + 1 == len(texts):
+            yield first, np.frombuffer(b"".join(held), np.uint8), np.cumsum([len(t) for t in held])
+            held, size, first = [], 0, i + 1
+
+
+def anchors_of(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts that lie one behind the other: anchor hashes, first stretch that has the anchor, number of such stretches, place of the anchor, text."""
     empty = np.zeros(0, np.int64)
-    if len(text) < length:
-        return empty.view(np.uint64), empty, empty, empty
-    h = gram_hashes(np.frombuffer(text, np.uint8), _gram(length))
+    if len(data) < length:
+        return empty.view(np.uint64), empty, empty, empty, empty
+    h = gram_hashes(data, _gram(length))
     window = length - _gram(length) + 1
     least = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
     reach = 1
@@ -80,9 +95,20 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         reach *= 2
     if window > reach:
         least = np.minimum(least[: reach - window], least[window - reach :])
-    at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return h[at[first]], first, np.diff(np.r_[first, len(at)]), at[first]
+    # no stretch goes on into the next text
+    edge = np.zeros(len(data) + 1, np.int32)
+    np.add.at(edge, np.maximum(ends - length + 1, np.r_[0, ends[:-1]]), 1)
+    np.subtract.at(edge, ends, 1)
+    start = np.flatnonzero(np.cumsum(edge[: len(least)]) == 0)
+    at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)[start]
+    new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
+    first, at = start[new], at[new]
+    return h[at], first, np.diff(np.r_[new, len(start)]), at, np.searchsorted(ends, first, "right")
+
+
+def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same of one text."""
+    return anchors_of(np.frombuffer(text, np.uint8), np.array([len(text)]), length)[:4]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,23 +125,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
-def fragments(text: bytes, length: int, wanted: Broadcast) -> tuple[np.ndarray, ...]:
-    """Of the wanted anchors: hash, first stretch, number of stretches, place of the anchor in the fragment, fragment key.
+def fragments(data: np.ndarray, ends: np.ndarray, length: int, wanted: Broadcast) -> tuple[np.ndarray, ...]:
+    """Of the wanted anchors: hash, first stretch (in all bytes), number of stretches, place of the anchor in the fragment, fragment key, text.
 
     The fragment is all bytes of the anchor's stretches; its key is a hash of them and of the anchor's place.
     """
-    h, first, count, at = anchors(text, length)
+    h, first, count, at, text = anchors_of(data, ends, length)
     if len(h):
         ok = bitmaps.hits(wanted, h)
-        h, first, count, at = h[ok], first[ok], count[ok], at[ok]
+        h, first, count, at, text = h[ok], first[ok], count[ok], at[ok], text[ok]
     if not len(h):
-        return h.view(np.int64), first, count, at, h.view(np.int64)
-    up, down = _powers(len(text))
-    sums = np.r_[np.uint64(0), np.cumsum(_TABLE[np.frombuffer(text, np.uint8)] * up[: len(text)])]
+        return h.view(np.int64), first, count, at, h.view(np.int64), text
+    up, down = _powers(len(data))
+    sums = np.r_[np.uint64(0), np.cumsum(_TABLE[data] * up[: len(data)])]
     key = (sums[first + count - 1 + length] - sums[first]) * down[first]
     key = (key ^ (key >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9) + (count * 64 + at - first).view(np.uint64) * np.uint64(0x94D049BB133111EB)
     key = (key ^ (key >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)
-    return h.view(np.int64), first, count, at - first, (key ^ (key >> np.uint64(32))).view(np.int64)
+    return h.view(np.int64), first, count, at - first, (key ^ (key >> np.uint64(32))).view(np.int64), text
 
 
 def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -187,7 +213,7 @@ def sort_buckets(hashes: np.ndarray, place: np.ndarray, pieces: list[bytes], own
 
 def _bitmap(values: DataFrame, most: int) -> Broadcast:
     """A bitmap of a table of one column."""
-    bits = bitmaps.bits_for(values.count(), most)
+    bits = bitmaps.bits_for(values.count(), most, PLACES)
 
     def mark(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from bitmaps.gather((np.asarray(b.column(0)) for b in arrow), bits)
@@ -217,20 +243,25 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     bits = bitmaps.bits_for(anchor_count, ANCHOR_BITS)
 
     def owners(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = (np.unique(anchors(t.encode("utf-8", "replace"), length)[0]).view(np.int64) for b in batches(arrow) for t in b.column(0).to_pylist())
-        yield from bitmaps.gather(own, bits)
+        def used() -> Iterator[np.ndarray]:
+            for batch in batches(arrow, 1024):
+                for _, data, ends in joined(batch.column(0).to_pylist()):
+                    h, _, _, _, text = anchors_of(data, ends, length)
+                    yield np.unique(text.view(np.uint64) << np.uint64(32) | bitmaps.slots(h, bits)).astype(np.uint32)
+
+        yield from bitmaps.send(used())
 
     [shared] = bitmaps.build(read.select("text").mapInArrow(owners, bitmaps.SCHEMA), bits, 2)
 
     # one row per distinct fragment, with its smallest and largest owner; of the anchor 32 bits, which tell enough here
     def classes(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow, 1024):
-            keys, hashes, docs_ = [], [], []
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h, _, _, _, k = fragments(t.encode("utf-8", "replace"), length, shared)
+            keys, hashes, docs_, ids = [], [], [], np.asarray(batch.column(0))
+            for at, data, ends in joined(batch.column(1).to_pylist()):
+                h, _, _, _, k, text = fragments(data, ends, length, shared)
                 keys.append(k)
                 hashes.append(h)
-                docs_.append(np.full(len(k), d, np.int64))
+                docs_.append(ids[at + text])
             key, h, d = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, hashes, docs_))
             order = np.lexsort((d, key))
             key, h, d = key[order], h[order], d[order]
@@ -253,23 +284,27 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
 
     def pieces(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow, 1024):
-            rows, seen = [], set()
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = t.encode("utf-8", "replace")
-                h, first, count, place, key = fragments(data, length, shared)
-                own = _joint(key, np.full(len(key), d, np.int64))
-                one, many, hot = (bitmaps.hits(b, x) if len(own) else np.zeros(0, bool) for b, x in zip((*senders, stretched), (own, own, h >> 32)))
+            rows, seen, ids = [], set(), np.asarray(batch.column(0))
+            for at, data, ends in joined(batch.column(1).to_pylist()):
+                h, first, count, place, key, text = fragments(data, ends, length, shared)
+                if not len(key):
+                    continue
+                doc = ids[at + text]
+                own = _joint(key, doc)
+                one, many, hot = (bitmaps.hits(b, x) for b, x in zip((*senders, stretched), (own, own, h >> 32)))
+                raw = data.tobytes()
                 for i in np.flatnonzero(one | many).tolist():
-                    k, f, n, p, a, owner = int(key[i]), int(first[i]), int(count[i]), int(place[i]), int(h[i]), (d, 2**62 if many[i] else d)
+                    d, k, f, n, p, a = int(doc[i]), int(key[i]), int(first[i]), int(count[i]), int(place[i]), int(h[i])
                     if (k, d) in seen:
                         continue
                     seen.add((k, d))
+                    owner = (d, 2**62 if many[i] else d)
                     if hot[i]:
                         # an anchor of very many surroundings is dealt by its stretches, so no bucket has to hold them all
-                        parts = [data[f + s : f + s + length] for s in range(n)]
+                        parts = [raw[f + s : f + s + length] for s in range(n)]
                         rows += [(xxhash.xxh3_64_intdigest(part) - 2**63, a, p - s, part, k, s, *owner) for s, part in enumerate(parts)]
                     else:
-                        rows.append((a, a, p, data[f : f + n - 1 + length], k, 0, *owner))
+                        rows.append((a, a, p, raw[f : f + n - 1 + length], k, 0, *owner))
             yield _batch(list(zip(*rows)) or [()] * 8, names, kinds)
 
     sent = read.mapInArrow(pieces, "deal long, anchor long, place int, piece binary, fragment long, skip int, lo long, hi long")
@@ -277,7 +312,9 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     def sort(group: pa.Table) -> pa.Table:
         lo, hi = np.asarray(group.column("lo")), np.asarray(group.column("hi"))
         found = sort_buckets(np.asarray(group.column("anchor")), np.asarray(group.column("place")).astype(np.int64), group.column("piece").to_pylist(), lo, length)
-        use = [i for i, m in enumerate(found) if m.min() < hi[i]]
+        # a fragment that several documents sent by chance has one answer
+        named = {(f, k): i for i, (f, k, m) in enumerate(zip(*(group.column(c).to_pylist() for c in ("fragment", "skip")), found)) if m.min() < hi[i]}
+        use = list(named.values())
         least = [found[i] if (found[i] != found[i][0]).any() else found[i][:1] for i in use]
         return pa.table({
             "fragment": group.column("fragment").take(pa.array(use, pa.int64())), "skip": group.column("skip").take(pa.array(use, pa.int64())),
@@ -291,13 +328,16 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     answered = _bitmap(answers.select("fragment"), FRAGMENT_BITS)
 
     def look_up(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(arrow):
+        for batch in batches(arrow, 1024):
             columns: list[list[np.ndarray]] = [[] for _ in range(5)]
-            for d, t, m in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                _, first, count, _, key = fragments(t.encode("utf-8", "replace"), length, shared)
-                ok = bitmaps.hits(answered, key) if len(key) else np.zeros(0, bool)
-                n = int(ok.sum())
-                for c, x in zip(columns, (np.full(n, d), np.full(n, m), key[ok], first[ok], count[ok])):
+            ids, marks = np.asarray(batch.column(0)), np.asarray(batch.column(2))
+            for at, data, ends in joined(batch.column(1).to_pylist()):
+                _, first, count, _, key, text = fragments(data, ends, length, shared)
+                if not len(key):
+                    continue
+                ok = bitmaps.hits(answered, key)
+                text = text[ok]
+                for c, x in zip(columns, (ids[at + text], marks[at + text], key[ok], first[ok] - np.r_[0, ends][text], count[ok])):
                     c.append(x)
             yield _batch([np.concatenate(c) if c else [] for c in columns], ["doc", "mark", "fragment", "at", "n"], [pa.int64()] * 3 + [pa.int32()] * 2)
 
@@ -312,14 +352,17 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
 
 def _gone(size: int, hits: list[int] | None, length: int) -> np.ndarray:
     """Which bytes go: those under a stretch that was found."""
-    starts = np.zeros(size + 1, np.int64)
-    if hits:
-        found = np.array(hits, np.int64)
-        for i in range(SPAN):
-            at = (found[(found >> i) & 1 == 1] >> SPAN) + i
-            np.add.at(starts, at, 1)
-            np.add.at(starts, at + length, -1)
-    return np.cumsum(starts[:-1]) > 0
+    if not hits:
+        return np.zeros(size, bool)
+    found = np.array(hits, np.int64)
+    low = (found & ((1 << SPAN) - 1)).astype("<u4")
+    at = np.flatnonzero(np.unpackbits(low.view(np.uint8), bitorder="little"))
+    starts = np.zeros(size + 1, np.int32)
+    starts[(found >> SPAN)[at >> 5] + (at & 31) + 1] = 1
+    before = np.cumsum(starts)  # stretches found that begin before each byte
+    under = before[1:].copy()
+    under[length:] -= before[1 : size - length + 1]
+    return under > 0
 
 
 def _rewritten(docs: DataFrame, length: int, key: str, text: str, own: list[str]) -> DataFrame:
