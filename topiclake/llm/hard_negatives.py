@@ -303,7 +303,7 @@ def mine(
     finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")), F.lit(False)))
     kept = vectors.select(F.col(key).cast("long").alias("id"), (F.col(label) if isinstance(label, str) else label).cast("long").alias("label"), F.col(vector).alias("v"), F.coalesce(anchors, F.lit(False)).alias("asks"), finite.alias("finite"))
     kept = kept.where("id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND finite")
-    rows = kept.select("id", "label", "asks", F.transform("v", lambda x: F.floor(x.cast("double") * scale)).alias("q")).distinct().withColumn("dims", F.size("q"))
+    rows = cut(kept.select("id", "label", "asks", F.transform("v", lambda x: F.floor(x.cast("double") * scale)).alias("q")).distinct().withColumn("dims", F.size("q")))
     blocks = _blocks(rows, block_rows)
     asked = _written(_askers(blocks, positives), batch_components)
     near = _search(blocks, asked, positives, True, batch_components).select("no", F.col("found").alias("positive_id"), F.col("score").alias("positive_score"))
