@@ -88,6 +88,19 @@ class Ranks(dict):
             i = end[i]
         return out
 
+    def _merge_short(self, data: bytes) -> list[int]:
+        """The same for a word of few bytes, where looking through all pairs is quicker than keeping them sorted."""
+        find, at = self.rank.get, [*range(len(data) + 1)]
+        ranks = [find(data[i : i + 2], NO_RANK) for i in at[:-2]]
+        while ranks and (low := min(ranks)) != NO_RANK:
+            i = ranks.index(low)
+            del at[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = find(data[at[i] : at[i + 2]], NO_RANK)
+            if i:
+                ranks[i - 1] = find(data[at[i - 1] : at[i + 1]], NO_RANK)
+        return [self.rank[data[a:b]] for a, b in pairwise(at)]
+
     def encode(self, text: str) -> bytes:
         """Packed ids of a text that begins and ends with whole pre-tokens."""
         return b"".join(map(self.__getitem__, self.find(text)))
