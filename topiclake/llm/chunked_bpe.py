@@ -13,7 +13,7 @@ import heapq
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache, reduce
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
 import public_tokenizers
 import pyarrow as pa
@@ -31,6 +31,8 @@ CHUNK, OVERLAP = 16_384, 256
 LOOKAHEAD = 2
 #: Pre-tokens that a worker remembers, and the longest one it does; the memory is emptied when full and changes no result.
 REMEMBERED, LONGEST_REMEMBERED = 500_000, 64
+#: Bytes of a pre-token up to which its pairs are looked through; longer ones use a heap, with the same result.
+SHORT_BYTES, NO_RANK = 48, 1 << 60
 #: Row numbers are the task's number above this many bits and a running number below.
 TASK_SHIFT = 40
 
@@ -61,6 +63,8 @@ class Ranks(dict):
         rank, n, longest = self.rank, len(data), self.longest
         if n <= longest and data in rank:
             return [rank[data]]
+        if n <= SHORT_BYTES:
+            return self._merge_short(data)
         end, before = [*range(1, n + 1)], [*range(-1, n - 1)]  # of the part that begins here; 0 where none does any more
         heap: list[tuple[int, int, int]] = []
 
@@ -147,7 +151,7 @@ def _seams(chunks: DataFrame, path: str, overlap: int) -> DataFrame:
                 tails.append([start + p for p in places if p >= own and not text[p - 1].isspace()])
             yield _batch([batch.column(0), batch.column(1), following, heads, tails], "row start next head tail", [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2)
 
-    marks = chunks.select("row", "start", "last", "text").mapInArrow(mark, "row long, start long, next long, head array<bigint>, tail array<bigint>")
+    marks = cut(chunks.select("row", "start", "last", "text").mapInArrow(mark, "row long, start long, next long, head array<bigint>, tail array<bigint>"))
     before = marks.where("next IS NOT NULL").select("row", F.col("next").alias("start"), "tail")
     seam = F.when(F.col("start") == 0, F.lit(0).cast("long")).otherwise(F.array_min(F.array_intersect("head", "tail")))
     return marks.select("row", "start", "head").join(before, ["row", "start"], "left").select("row", "start", seam.alias("seam"))
