@@ -245,6 +245,9 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
 
     # what meets across clusters: no pair of these lies in one cluster, so none is compared twice
     x = posts.join(small(label), "gid")
+    # most shingles are named in one cluster only; the few others are found by narrow rows before whole ones are joined
+    apart = cut(x.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token"))
+    x = cut(x.join(small(apart), "token", "left_semi"))
     y = x.select("token", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "pos", "c")])
     most = f"100 * (1 + least(n - pos - 1, n2 - pos2 - 1)) * (100 + {percent}) >= 100 * {percent} * (n + n2)"
     across = x.join(y, "token").where(f"c < c2 AND {_close('n', 'n2', percent)} AND {most}").select("gid", "gid2").distinct()
