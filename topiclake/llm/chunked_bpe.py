@@ -27,6 +27,8 @@ from topiclake.llm.common import cut, small
 
 #: Characters of a chunk before the next one begins, and characters that it shares with the next.
 CHUNK, OVERLAP = 16_384, 256
+#: Chunks that a task hands on at a time, so that a very long text never lies in one batch.
+DEALT = 500
 #: What the pattern may look at behind a pre-token's end, two characters at most; ends nearer to a chunk's end are unsure.
 LOOKAHEAD = 2
 #: Pre-tokens that a worker remembers, and the longest one it does; the memory is emptied when full and changes no result.
@@ -170,12 +172,22 @@ def _long_pieces(docs: DataFrame, path: str, chunk: int, overlap: int) -> DataFr
     def deal(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         row = (context.partitionId() if context else 0) << TASK_SHIFT
+        rows: list[tuple] = []
+
+        def flush(key: pa.DataType) -> pa.RecordBatch:
+            columns = list(zip(*rows))
+            rows.clear()
+            return _batch(columns, "row k start last text", [pa.int64(), key, pa.int64(), pa.bool_(), pa.string()])
+
         for batch in batches(arrow, 16):
-            rows = []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows += [(row, k, *c) for c in chunks_of(t, chunk, overlap)]
+                for c in chunks_of(t, chunk, overlap):
+                    rows.append((row, k, *c))
+                    if len(rows) >= DEALT:
+                        yield flush(batch.column(0).type)
                 row += 1
-            yield _batch(list(zip(*rows)) or [()] * 5, "row k start last text", [pa.int64(), batch.column(0).type, pa.int64(), pa.bool_(), pa.string()])
+            if rows:
+                yield flush(batch.column(0).type)
 
     chunks = cut(docs.mapInArrow(deal, f"row long, k {kind}, start long, last boolean, text string").repartition("row", "start"))
     along = Window.partitionBy("row").orderBy("start")
