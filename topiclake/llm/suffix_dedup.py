@@ -188,20 +188,32 @@ def sort_buckets(hashes: np.ndarray, place: np.ndarray, pieces: list[bytes], own
             new[1:] |= k[by][1:] != k[by][:-1]
         return by, new
 
+    def alike(have: np.ndarray, a: int, b: int) -> np.ndarray:
+        """Fragments that share these bytes with another of their anchor."""
+        rows, shared = np.flatnonzero(have), np.zeros(n, bool)
+        if len(rows):
+            by, new = order([group[rows], *packed(rows, a, b)])
+            run = np.cumsum(new) - 1
+            shared[rows[by]] = np.bincount(run)[run] > 1
+        return shared
+
+    # a stretch reaches half of the rest or more to one side of its anchor, so fragments alone on both sides equal no other
+    half, behind = (lead + 1) // 2, width - lead
+    live = alike(start <= lead - half, lead - half, lead) | alike(stop >= behind + half, behind, behind + half)
     gap = max(b - a for a, b in zip(COVER, (*COVER[1:], COVER_MOD)))
     depth = length - gap + 1  # a sample at most gap - 1 behind a stretch's start ends within it
     ranks = {}
     for c in range(lead + gap):
         if c % COVER_MOD in COVER:
-            rows = np.flatnonzero((start <= c) & (stop >= c + depth))
+            rows = np.flatnonzero(live & (start <= c) & (stop >= c + depth))
             rank = np.full(n, -1)
             if len(rows):
                 by, new = order([group[rows], *packed(rows, c, c + depth)])
                 rank[rows[by]] = np.cumsum(new)
             ranks[c] = rank
-    least = np.zeros((n, lead + 1), np.int64)
+    least = np.repeat(owner[:, None], lead + 1, 1)
     for c in range(lead + 1):
-        rows = np.flatnonzero((start <= c) & (stop >= c + length))
+        rows = np.flatnonzero(live & (start <= c) & (stop >= c + length))
         if not len(rows):
             continue
         sample = next(x for x in range(c, c + gap) if x in ranks)
