@@ -76,7 +76,7 @@ def build(gathered: DataFrame, bits: int, *owners: int) -> list[Broadcast]:
     whole = [np.zeros(1 << (bits - 3), np.uint8) for _ in owners]
     size = 1 << (SEGMENT_BITS - 3)
     schema = ", ".join(["segment int", *(f"m{i} binary" for i in range(len(owners)))])
-    for row in gathered.groupBy("segment").applyInArrow(merge, schema).toLocalIterator():
+    for row in gathered.groupBy("segment").applyInArrow(merge, schema).collect():
         for i, bitmap in enumerate(whole):
             bitmap[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row[f"m{i}"], np.uint8)
     return [gathered.sparkSession.sparkContext.broadcast(bitmap) for bitmap in whole]

@@ -76,7 +76,7 @@ def count_sketch(docs: DataFrame, text: str, size: int) -> Broadcast:
 
     whole = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint32)
     counted = docs.select(text).mapInArrow(count, "part int, counts binary")
-    for row in counted.groupBy("part").applyInArrow(add, "part int, counts binary").toLocalIterator():
+    for row in counted.groupBy("part").applyInArrow(add, "part int, counts binary").collect():
         whole[row["part"]] = np.frombuffer(row["counts"], np.uint32)
     return docs.sparkSession.sparkContext.broadcast(whole.ravel())
 

@@ -148,8 +148,8 @@ def _answer_block(docs: DataFrame, asked: list[Row], k: int, shard_entries: int)
     index = cut(docs.mapInArrow(look, f"doc {kind}, n long, tids array<int>, tfs array<int>").withColumn("row", F.monotonically_increasing_id()))
     totals = index.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.size("tids")), F.lit(0))).first()
     holding = np.zeros(len(number), np.int64)
-    for r in index.select(F.explode("tids").alias("t")).groupBy("t").count().toLocalIterator():
-        holding[r["t"]] = r["count"]
+    counted = index.select(F.explode("tids").alias("t")).groupBy("t").count().toArrow()
+    holding[np.asarray(counted.column("t"))] = np.asarray(counted.column("count"))
     weights = spark.sparkContext.broadcast(np.array([weight(totals[0], int(h)) for h in holding], np.int64))
     items = spark.sparkContext.broadcast([np.array([number[t] for t in terms], np.int64) for terms in wanted])
     shards = max(1, -(-totals[2] // shard_entries))
