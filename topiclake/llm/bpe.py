@@ -9,6 +9,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -57,19 +58,19 @@ class Codec:
             self.pieces[i] = bytes(back[c] for c in token)
         for token, i in self.special.items():
             self.pieces[i] = token.encode()
+        #: Ranks of all pairs of bytes, where a word's merging begins.
+        self.byte_ranks = [[self.ranks.get(a << 32 | b, NO_RANK) for b in self.byte_id] for a in self.byte_id]
         self.words = regex.compile(WORD_PATTERN)
         self.known: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
-    def merge_short(self, ids: list[int]) -> list[int]:
+    def merge_short(self, ids: list[int], ranks: list[int] | None = None) -> list[int]:
         """Ids after all merges: scan the rank array for its minimum, delete that boundary, refresh both neighbours."""
         find, made = self.ranks.get, self.made
-        ranks = [find(a << 32 | b, NO_RANK) for a, b in zip(ids, ids[1:])]
+        if ranks is None:
+            ranks = [find(a << 32 | b, NO_RANK) for a, b in zip(ids, ids[1:])]
         ids = ids[:]
-        while ranks:
-            low = min(ranks)
-            if low == NO_RANK:
-                break
+        while ranks and (low := min(ranks)) != NO_RANK:
             at = ranks.index(low)
             new = ids[at] = made[low]
             del ids[at + 1], ranks[at]
@@ -100,13 +101,19 @@ class Codec:
         return [i for i in ids if i >= 0]
 
     def _word(self, word: str) -> bytes:
-        ids = [self.byte_id[b] for b in word.encode()]
-        packed = array("I", self.merge_short(ids) if len(ids) <= SHORT_PARTS else self.merge_long(ids)).tobytes()
+        data, byte_id = word.encode(), self.byte_id
+        ids = [byte_id[b] for b in data]
+        if len(ids) > SHORT_PARTS:
+            return array("I", self.merge_long(ids)).tobytes()
+        rows = self.byte_ranks
+        packed = array("I", self.merge_short(ids, [rows[a][b] for a, b in pairwise(data)])).tobytes()
         return self._keep(self.known, word, packed)
 
     def _chunk(self, chunk: str) -> bytes:
         known, new = self.known.get, self._word
-        return self._keep(self.chunks, chunk, b"".join([known(w) or new(w) for w in self.words.findall(chunk)]))
+        words = self.words.findall(chunk)
+        packed = known(chunk) or new(chunk) if len(words) == 1 else b"".join([known(w) or new(w) for w in words])
+        return self._keep(self.chunks, chunk, packed)
 
     @staticmethod
     def _keep(memory: dict[str, bytes], key: str, packed: bytes) -> bytes:
