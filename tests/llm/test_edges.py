@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from topiclake.llm import bpe, language, ngram_join, packing, quality, secrets, suffix_dedup, toxicity
-from topiclake.llm.queries import TOKENIZER
+from topiclake.llm import bpe, chunked_bpe, language, ngram_join, packing, quality, ranked, secrets, suffix_dedup, toxicity
+from topiclake.llm.queries import RANKS, TOKENIZER
 
 CLASHING = ("k", "row", "_row", "_id", "_text", "doc", "mark", "n", "cls", "gid", "prefix", "c", "words", "_words", "path", "value", "score", "kept", "n_words", "start", "ids", "t", "y", "component_id", "_gone", "_hits", "_clean")
 ROWS = [
@@ -24,6 +24,9 @@ def odd(spark):
 OPERATORS = {
     "bpe": lambda d: bpe.digests(d, TOKENIZER),
     "bpe ids": lambda d: bpe.encode(d, TOKENIZER),
+    "chunked bpe": lambda d: chunked_bpe.digests(d, RANKS, chunk=1000, overlap=50),
+    "chunked bpe ids": lambda d: chunked_bpe.decode(chunked_bpe.encode(d, RANKS), RANKS),
+    "ranked search": lambda d: ranked.search(d, d, item="doc_id", key="doc_id"),
     "language": lambda d: language.predict(d, language.train(d)),
     "packing": lambda d: packing.pack(d, TOKENIZER),
     "join": lambda d: ngram_join.join(d),
@@ -36,7 +39,7 @@ OPERATORS = {
     "redaction": lambda d: secrets.redact(d),
     "toxicity": lambda d: toxicity.score(d, toxicity.train(d, d.select("doc_id", (F.col("doc_id") % 2).alias("toxic")))),
 }
-ONE_ROW_EACH = {"bpe", "bpe ids", "language", "join", "suffix", "suffix removal", "quality", "redaction", "toxicity"}
+ONE_ROW_EACH = {"chunked bpe", "bpe", "bpe ids", "language", "join", "suffix", "suffix removal", "quality", "redaction", "toxicity"}
 
 
 @pytest.mark.parametrize("name", OPERATORS)
