@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words of more parts than this are merged with a heap, so a word of a million letters takes n log n steps, not n squared.
 SHORT_PARTS = 128
-#: Words, and stretches between spaces, whose ids a worker remembers; the memory is emptied when full and changes no result.
-REMEMBERED = 500_000
+#: Words, and stretches between spaces, in one of the two parts of what a worker remembers. When the newer part is full, the
+#: older one is forgotten and what is used again moves over. It changes no result.
+REMEMBERED = 300_000
 NO_RANK = 1 << 60
 #: White space after a space: only then can cutting a text at its spaces change its words.
 SPACED = re.compile(r" \s")
@@ -61,8 +62,8 @@ class Codec:
         #: Ranks of all pairs of bytes, where a word's merging begins.
         self.byte_ranks = [[self.ranks.get(a << 32 | b, NO_RANK) for b in self.byte_id] for a in self.byte_id]
         self.words = regex.compile(WORD_PATTERN)
-        self.known: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.known: list[dict[str, bytes]] = [{}, {}]
+        self.chunks: list[dict[str, bytes]] = [{}, {}]
 
     def merge_short(self, ids: list[int], ranks: list[int] | None = None) -> list[int]:
         """Ids after all merges: scan the rank array for its minimum, delete that boundary, refresh both neighbours."""
@@ -101,6 +102,8 @@ class Codec:
         return [i for i in ids if i >= 0]
 
     def _word(self, word: str) -> bytes:
+        if packed := self.known[1].get(word):
+            return self._keep(self.known, word, packed)
         data, byte_id = word.encode(), self.byte_id
         ids = [byte_id[b] for b in data]
         if len(ids) > SHORT_PARTS:
@@ -110,25 +113,26 @@ class Codec:
         return self._keep(self.known, word, packed)
 
     def _chunk(self, chunk: str) -> bytes:
-        known, new = self.known.get, self._word
+        if packed := self.chunks[1].get(chunk):
+            return self._keep(self.chunks, chunk, packed)
+        known, new = self.known[0].get, self._word
         words = self.words.findall(chunk)
         packed = known(chunk) or new(chunk) if len(words) == 1 else b"".join([known(w) or new(w) for w in words])
         return self._keep(self.chunks, chunk, packed)
 
-    @staticmethod
-    def _keep(memory: dict[str, bytes], key: str, packed: bytes) -> bytes:
+    def _keep(self, memory: list[dict[str, bytes]], key: str, packed: bytes) -> bytes:
         if len(key) <= SHORT_PARTS:
-            if len(memory) >= REMEMBERED:
-                memory.clear()
-            memory[key] = packed
+            if len(memory[0]) >= REMEMBERED:
+                memory[:] = {}, memory[0]
+            memory[0][key] = packed
         return packed
 
     def _plain(self, text: str) -> bytes:
         if SPACED.search(text):
-            known, new, parts = self.known.get, self._word, self.words.findall(text)
+            known, new, parts = self.known[0].get, self._word, self.words.findall(text)
         else:
             # a word takes one space at most in front of it, so single spaces always begin a word
-            known, new = self.chunks.get, self._chunk
+            known, new = self.chunks[0].get, self._chunk
             first, *rest = text.split(" ")
             parts = [first, *map(" ".__add__, rest)] if first else map(" ".__add__, rest)
         return b"".join([known(p) or new(p) for p in parts])
