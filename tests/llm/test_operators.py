@@ -56,6 +56,26 @@ def test_long_words_merge_alike():
     assert len(codec.encode("a" * 300_000)) > 0
 
 
+def test_words_merged_together_and_stretches_looked_up_once(monkeypatch):
+    library = Tokenizer.from_file(TOKENIZER)
+    rng = np.random.default_rng(5)
+    signs = np.array(list("aabcdeehilnorstuAZ09'.,;!?-_ \n\t\r éüß漢字… \u0301😀\x00"))
+    odd = ["".join(rng.choice(signs, rng.integers(1, 400))) for _ in range(300)]
+    odd += ["it's, I'll'd (we've) 'tis a'b", "word,word;\nword.\n\nword", " lead", "trail ", "a" * 300 + "," + "b" * 300, "x  y", "a<|endoftext|>b, c", "", None, " ", "\n"]
+    codec = bpe.Codec(TOKENIZER)
+    words = sorted({w.encode() for t in odd for w in codec.words.findall(t or "") if len(w.encode()) <= bpe.SHORT_PARTS})
+    assert codec.merge_many(words) == [np.array(codec.merge_short([codec.byte_id[b] for b in w]), "<u4").tobytes() for w in words]
+    expected = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in odd]
+    one_hash = np.zeros_like(bpe._TABLE)
+    for together, remembered, table in ((1 << 20, 400_000, bpe._TABLE), (64, 50, bpe._TABLE), (1 << 20, 400_000, one_hash)):
+        monkeypatch.setattr(bpe, "TOGETHER", together)
+        monkeypatch.setattr(bpe, "REMEMBERED", remembered)
+        monkeypatch.setattr(bpe, "_TABLE", table)
+        codec = bpe.Codec(TOKENIZER)
+        assert codec.encode_many(odd) == expected
+        assert codec.encode_many(odd[::-1]) == expected[::-1]
+
+
 def test_bpe_operator(spark, docs, texts):
     got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in bpe.digests(docs, TOKENIZER).collect()}
     codec = bpe.Codec(TOKENIZER)

@@ -149,8 +149,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, separator: int =
         kind: pa.DataType | None = None
         for batch in batches(arrow):
             kind = batch.column(0).type
-            for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = codec.encode(t) + end
+            for key, packed in zip(batch.column(0).to_pylist(), codec.encode_many(batch.column(1).to_pylist())):
+                ids = packed + end
                 total = len(ids) // 4
                 whole = total - total % capacity
                 for start in range(0, whole, capacity):
