@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from topiclake.llm import bpe, graph, language, neighbours, ngram_join, packing, quality, secrets, suffix_dedup, toxicity, wrappers
+from topiclake.llm import bpe, common, graph, language, neighbours, ngram_join, packing, quality, secrets, suffix_dedup, toxicity, wrappers
 from topiclake.llm.common import held_out
 from topiclake.llm.queries import TOKENIZER
 
@@ -222,6 +222,24 @@ def test_join_on_given_documents(docs, texts):
     assert rows_of(ngram_join.join(docs, 4, 85)) == brute_components(list(texts.items()), 4, 85)
 
 
+def test_few_narrow_rows_go_to_few_files_and_texts_in_small_batches(spark, monkeypatch):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", common._BATCH_SETTING)}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 211)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        dealt = spark.range(5000).groupBy((F.col("id") % 3000).alias("k")).count()
+        few = common.cut(dealt, 5000)
+        assert len(few.inputFiles()) <= max(common.FEW_FILES, 2 * spark.sparkContext.defaultParallelism) < len(common.cut(dealt).inputFiles())
+        assert rows_of(few) == rows_of(dealt)
+        for given, used in ((10_000, common.BATCH_ROWS), (0, common.BATCH_ROWS), (7, 7)):
+            spark.conf.set(common._BATCH_SETTING, given)
+            common.modest_batches(spark)
+            assert int(spark.conf.get(common._BATCH_SETTING)) == used
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_keep_one(spark):
     text = " ".join(f"w{i}" for i in range(50))
     df = spark.createDataFrame([(3, text, "x"), (1, text + " more", "y"), (2, "else", "z"), (None, text, None)], "doc_id long, text string, cls string")

@@ -28,9 +28,31 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write a result to the shared folder and read it again: lineage ends, and lost executors recompute nothing."""
+#: Narrow rows that a file may have, and files that a table of narrow rows may have in any case.
+FILE_ROWS, FEW_FILES = 50_000, 32
+#: Rows that travel to Python at once.
+BATCH_ROWS = 1024
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Rows of whole texts go to Python in small batches: an executor holds several of them for each task, outside its heap.
+
+    A session that asks for still smaller ones keeps them; no result depends on it.
+    """
+    if not 0 < int(spark.conf.get(_BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Write a result to the shared folder and read it again: lineage ends, and lost executors recompute nothing.
+
+    ``rows`` is given for narrow rows whose number has a known bound: few rows then go to few files, however many
+    partitions the last shuffle has.
+    """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(FEW_FILES, 2 * spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     path = f"{shared_root(spark)}/llm-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

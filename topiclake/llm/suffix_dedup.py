@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from topiclake.llm import bitmaps
 from topiclake.llm.bpe import batches
-from topiclake.llm.common import cut
+from topiclake.llm.common import cut, modest_batches
 
 GRAM = 20
 #: Stretches that share an anchor, at most: what was found of them is one number, 31 bits below the first one's place.
@@ -224,31 +224,23 @@ def sort_buckets(hashes: np.ndarray, place: np.ndarray, pieces: list[bytes], own
 
 
 def _bitmap(values: DataFrame, most: int) -> Broadcast:
-    """A bitmap of a table of one column."""
+    """A bitmap of a table of one column, or of the joint hashes of two."""
     bits = bitmaps.bits_for(values.count(), most, PLACES)
 
     def mark(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from bitmaps.gather((np.asarray(b.column(0)) for b in arrow), bits)
+        columns = ([np.asarray(c) for c in b.columns] for b in arrow)
+        yield from bitmaps.gather((_joint(*c) if len(c) > 1 else c[0] for c in columns), bits)
 
     return bitmaps.build(values.mapInArrow(mark, bitmaps.SCHEMA), bits, 1)[0]
 
 
-def _pairs(owned: DataFrame) -> DataFrame:
-    """Hashes of fragment and smallest owner."""
-
-    def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow:
-            yield _batch([_joint(np.asarray(batch.column(0)), np.asarray(batch.column(1)))], ["v"], [pa.int64()])
-
-    return owned.select("fragment", "lo").mapInArrow(run, "v long")
-
-
 def _batch(columns: list[list], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc``, ``mark`` (hash of the text) and ``hits``: places of stretches found in a smaller document, 31 in a number."""
+    modest_batches(docs.sparkSession)
     read = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("mark")).where("doc IS NOT NULL AND text IS NOT NULL")
 
     anchor_count = 2 * (read.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (length - _gram(length) + 1)
@@ -284,9 +276,10 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     known = read.mapInArrow(classes, "fragment long, anchor int, lo long, hi long").groupBy("fragment").agg(F.min("anchor").alias("anchor"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     known = cut(known)
     # anchors with several surroundings: only there do bytes have to meet, each fragment's from its smallest owner
-    several = cut(known.groupBy("anchor").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("n > 1 AND lo < hi").select("anchor", "n"))
-    mixed = cut(known.join(several.select("anchor"), "anchor").select("fragment", "lo", "hi"))
-    senders = [_bitmap(_pairs(mixed.where(c)), MIXED_BITS) for c in ("lo = hi", "lo < hi")]
+    n_known = known.count()
+    several = cut(known.groupBy("anchor").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("n > 1 AND lo < hi").select("anchor", "n"), n_known)
+    mixed = cut(known.join(several.select("anchor"), "anchor").select("fragment", "lo", "hi"), n_known)
+    senders = [_bitmap(mixed.where(c).select("fragment", "lo"), MIXED_BITS) for c in ("lo = hi", "lo < hi")]
     # by anchor, so that a chance hit deals all fragments of its anchor alike and they still meet
     stretched = _bitmap(several.where(F.col("n") >= HOT_FRAGMENTS).select(F.col("anchor").cast("long")), MIXED_BITS)
     buckets = max(1, -(-mixed.count() // BUCKET_FRAGMENTS))
