@@ -240,6 +240,21 @@ def test_few_narrow_rows_go_to_few_files_and_texts_in_small_batches(spark, monke
             spark.conf.set(k, v)
 
 
+def test_chance_hits_of_shingles_are_looked_at_again(spark, monkeypatch):
+    """In a bitmap that is far too small almost all shingles pass; few of those of one group are handed on."""
+    monkeypatch.setattr(ngram_join, "SHARED_BITS", 20)
+    seen = []
+    clusters = ngram_join._clusters
+    monkeypatch.setattr(ngram_join, "_clusters", lambda posts, groups: seen.append(clusters(posts, groups)) or seen[0])
+    rng = random.Random(3)
+    texts = [" ".join(str(rng.randrange(10**9)) for _ in range(1500)) for _ in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[0] + " more"])], "doc_id long, text string")
+    out = {r["doc_id"]: r["component_id"] for r in ngram_join.join(docs, size=4, percent=85).collect()}
+    assert out == {i: i % 600 for i in range(601)}
+    named = 2 * 226 * 601  # about 15 % of the shingles of a set, each under two names; a third of them pass one bitmap
+    assert seen[0][0].count() < named // 8
+
+
 def test_keep_one(spark):
     text = " ".join(f"w{i}" for i in range(50))
     df = spark.createDataFrame([(3, text, "x"), (1, text + " more", "y"), (2, "else", "z"), (None, text, None)], "doc_id long, text string, cls string")

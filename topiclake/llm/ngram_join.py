@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from topiclake.llm import bitmaps
 from topiclake.llm.bpe import batches
-from topiclake.llm.common import cut, small
+from topiclake.llm.common import cut, modest_batches, small
 from topiclake.llm.graph import components
 
 #: Places of the count sketch that orders shingles. Its size is fixed; it steers how much work is done, not the result.
@@ -123,6 +123,12 @@ def _tokens(batch: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray
     return named.ravel().view(np.int64), np.repeat(owner, 2), np.repeat(place, 2)
 
 
+def _elsewhere(tokens: np.ndarray) -> np.ndarray:
+    """Other values for the same tokens, with other places in a bitmap."""
+    t = tokens.view(np.uint64)
+    return ((t ^ (t >> np.uint64(32))) * _MIX[4]).view(np.int64)
+
+
 def _close(a: str, b: str, percent: int) -> str:
     """Whether two sizes allow a link."""
     return f"100 * {a} >= {percent} * {b} AND 100 * {b} >= {percent} * {a}"
@@ -197,27 +203,29 @@ def _compare_blocks(percent: int):
     return run
 
 
-def _clusters(posts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _clusters(posts: DataFrame, groups: int) -> tuple[DataFrame, DataFrame]:
     """The postings, written down, and per group in them the smallest group within two steps over shared shingles."""
     posts = cut(posts)
     label = None
     for _ in range(2):
         own = posts.withColumn("c", F.col("gid")) if label is None else posts.join(small(label), "gid")
         least = own.groupBy("token").agg(F.min("c").alias("c"))
-        label = cut(posts.join(least, "token").groupBy("gid").agg(F.min("c").alias("c")))
+        label = cut(posts.join(least, "token").groupBy("gid").agg(F.min("c").alias("c")), groups)
     return posts, label
 
 
 def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Described documents, and edges ``a``, ``b`` between document ids whose components are those of all links."""
+    modest_batches(docs.sparkSession)
     sketch = count_sketch(docs, text, size)
     described = cut(_describe(docs, key, text, size, percent, sketch).withColumn("gid", F.xxhash64("n", "prefix")))
+    n_rows = described.count()
     held = described.where("doc IS NOT NULL AND n > 0")
-    classes = cut(held.groupBy("cls").agg(F.min("doc").alias("rep"), F.min("n").alias("n"), F.min("gid").alias("gid")))
+    classes = cut(held.groupBy("cls").agg(F.min("doc").alias("rep"), F.min("n").alias("n"), F.min("gid").alias("gid")), n_rows)
     copies = held.select("cls", "doc").join(classes.select("cls", "rep"), "cls").where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
 
     # one document for each group of those of the same prefix and size
-    first = cut(classes.groupBy("gid").agg(F.min("rep").alias("doc")))
+    first = cut(classes.groupBy("gid").agg(F.min("rep").alias("doc")), n_rows)
     groups = held.join(small(first), ["gid", "doc"], "left_semi").select("gid", "n", "prefix")
     bits = bitmaps.bits_for(2 * (groups.agg(F.sum(F.size("prefix"))).first()[0] or 0), SHARED_BITS)
 
@@ -228,20 +236,31 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
 
     [shared] = bitmaps.build(groups.select("gid", "n", "prefix").mapInArrow(gather, bitmaps.SCHEMA), bits, 2)
 
+    # most of what passes by chance does not pass again at other places, so it is not dealt out in the steps that follow
+    def gather_again(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(arrow):
+            tokens, owner, _ = _tokens(batch, percent)
+            ok = bitmaps.hits(shared, tokens)
+            tokens, owner = _elsewhere(tokens[ok]), owner[ok]
+            yield from bitmaps.gather(iter(np.split(tokens, np.flatnonzero(np.diff(owner)) + 1)), bits)
+
+    [again] = bitmaps.build(groups.select("gid", "n", "prefix").mapInArrow(gather_again, bitmaps.SCHEMA), bits, 2)
+
     def post(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow):
             tokens, owner, place = _tokens(batch, percent)
             ok = bitmaps.hits(shared, tokens)
+            ok[ok] = bitmaps.hits(again, _elsewhere(tokens[ok]))
             gid, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tokens[ok], gid[owner[ok]], n[owner[ok]], place[ok])], ["token", "gid", "n", "pos"])
 
-    posts, label = _clusters(groups.select("gid", "n", "prefix").mapInArrow(post, "token long, gid long, n long, pos long"))
+    posts, label = _clusters(groups.select("gid", "n", "prefix").mapInArrow(post, "token long, gid long, n long, pos long"), n_rows)
 
     # members of clusters of more than one set, dealt to blocks; each pair of blocks is one task's work
     members = classes.join(small(label), "gid", "left").withColumn("c", F.coalesce("c", "gid"))
     sized = members.groupBy("c").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    members = cut(members.join(sized.withColumn("blocks", blocks), "c").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")))
+    members = cut(members.join(sized.withColumn("blocks", blocks), "c").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")), n_rows)
 
     # what meets across clusters: no pair of these lies in one cluster, so none is compared twice
     x = posts.join(small(label), "gid")
