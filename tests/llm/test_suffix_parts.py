@@ -1,11 +1,12 @@
 """Parts of suffix dedup: texts hashed together, spans from bits, buckets against comparing all stretches."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from topiclake.llm import suffix_dedup
+from topiclake.llm import bitmaps, suffix_dedup
 
 
 def test_joined_texts_have_their_own_anchors(monkeypatch):
@@ -57,3 +58,12 @@ def test_buckets_equal_comparing_all(length):
         got = suffix_dedup.sort_buckets(hashes, place, pieces, owner, length)
         want = [[least[h, p - s, piece[s : s + length]] for s in range(len(piece) - length + 1)] for h, p, piece in zip(hashes, place, pieces)]
         assert [g.tolist() for g in got] == want
+
+
+def test_places_travel_as_small_distances():
+    rng = np.random.default_rng(4)
+    for count in (1, 2, 3000, 1 << 20):
+        places = np.sort(rng.choice(1 << bitmaps.SEGMENT_BITS, count, replace=False)).astype(np.uint32)
+        assert (bitmaps.unpacked(bitmaps.packed(places)) == places).all()
+    places = np.sort(rng.choice(1 << bitmaps.SEGMENT_BITS, 3000, replace=False)).astype(np.uint32)
+    assert 3 * len(zlib.compress(bitmaps.packed(places), 1)) < 2 * len(zlib.compress(places.tobytes(), 1))
