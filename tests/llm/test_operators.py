@@ -255,6 +255,49 @@ def test_chance_hits_of_shingles_are_looked_at_again(spark, monkeypatch):
     assert seen[0][0].count() < named // 8
 
 
+def test_linked_sets_share_the_fewest_of_their_prefixes():
+    rng, counts, linked = np.random.default_rng(5), np.zeros(1 << ngram_join.SKETCH_BITS, np.uint32), 0
+    for _ in range(3000):
+        percent, n = int(rng.choice([60, 80, 85])), int(rng.integers(1, 120))
+        both, one, two = n, *rng.integers(0, 1 + n // 3, 2)
+        h = rng.integers(0, 2**64, both + one + two, dtype=np.uint64)
+        a, b = np.unique(h[: both + one]), np.unique(np.r_[h[:both], h[both + one :]])
+        if ngram_join.linked(a, b, percent):
+            linked += 1
+            shared = np.intersect1d(ngram_join.prefix(a, counts, percent), ngram_join.prefix(b, counts, percent))
+            assert len(shared) >= ngram_join.fewest_shared(np.array(len(a)), np.array(len(b)), percent) >= 1
+    assert linked > 1000
+
+
+@pytest.mark.parametrize("limits", [(2000, 500_000), (5, 300)])
+def test_sets_that_share_too_little_of_their_prefixes_are_not_sent(spark, monkeypatch, limits):
+    """Each text has a passage in common with each of its neighbours: all meet, in clusters and across, but two only link."""
+    for name, value in zip(("BLOCK_SETS", "BLOCK_NAMES"), limits):
+        monkeypatch.setattr(ngram_join, name, value, raising=False)
+    seen = []
+    monkeypatch.setattr(ngram_join, "cut", lambda df, rows=None: seen.append(common.cut(df, rows)) or seen[-1])
+    texts = [" ".join(f"w{min(i, i + d)}.{abs(d)}.{k}" for d in (-3, -2, -1, 1, 2, 3) for k in range(40)) for i in range(60)]
+    rows = list(enumerate([*texts, texts[7] + " more"]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(ngram_join.join(docs, 4, 85)) == brute_components(rows, 4, 85)
+    [posts] = [d for d in seen if d.columns[:4] == ["token", "gid", "n", "pos"] and "c" not in d.columns]
+    [members] = [d for d in seen if "block" in d.columns]
+    [pairs] = [d for d in seen if d.columns == ["cls1", "cls2"]]
+    assert posts.groupBy("token").count().where("count > 1").count() > 300
+    assert members.where("k > 1").count() + 2 * pairs.count() <= 4
+
+
+def test_names_of_the_next_class_alone_are_not_dealt_out(spark, monkeypatch):
+    seen = []
+    clusters = ngram_join._clusters
+    monkeypatch.setattr(ngram_join, "_clusters", lambda posts, groups: seen.append(clusters(posts, groups)) or seen[0])
+    texts = [" ".join(f"{i // 2}.{k}" for k in range(300)) + f" end{i}" for i in range(100)]
+    out = ngram_join.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4, 85)
+    assert rows_of(out) == sorted([(i, 298, i - i % 2) for i in range(100)], key=str)
+    prefixes = 100 * (298 - 254 + 1)  # one class: what two share under the class, they share under the next one as well
+    assert seen[0][0].count() < 1.2 * prefixes
+
+
 def test_keep_one(spark):
     text = " ".join(f"w{i}" for i in range(50))
     df = spark.createDataFrame([(3, text, "x"), (1, text + " more", "y"), (2, "else", "z"), (None, text, None)], "doc_id long, text string, cls string")

@@ -38,28 +38,34 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.uint32)
 
 
-def _send(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _send(parts: list[np.ndarray], weight: int) -> Iterator[pa.RecordBatch]:
     found, counts = np.unique(np.concatenate(parts), return_counts=True)
     segment = found >> SEGMENT_BITS
     edges = np.flatnonzero(np.diff(segment)) + 1
     local = (found & ((1 << SEGMENT_BITS) - 1)).astype(np.uint32)
-    counts = np.minimum(counts, 255).astype(np.uint8)
+    counts = np.minimum(counts * weight, 255).astype(np.uint8)
     rows = [(int(s), packed(p), n.tobytes()) for s, p, n in zip(segment[np.r_[0, edges]], np.split(local, edges), np.split(counts, edges))]
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["segment", "places", "counts"])
 
 
 def send(used: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """What a task knows of its values, given slots, those of each owner (a document, a group) once."""
-    parts, held = [], 0
-    for places in used:
+    return send_weighed((1, places) for places in used)
+
+
+def send_weighed(used: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The same of owners that count as so many each; what has one weight travels together."""
+    parts: dict[int, list[np.ndarray]] = {}
+    held: dict[int, int] = {}
+    for weight, places in used:
         if len(places):
-            parts.append(places)
-            held += len(places)
-        if held >= FLUSH_VALUES:
-            yield from _send(parts)
-            parts, held = [], 0
-    if parts:
-        yield from _send(parts)
+            parts.setdefault(weight, []).append(places)
+            held[weight] = held.get(weight, 0) + len(places)
+        if held.get(weight, 0) >= FLUSH_VALUES:
+            yield from _send(parts.pop(weight), weight)
+            held[weight] = 0
+    for weight, rest in parts.items():
+        yield from _send(rest, weight)
 
 
 def gather(owned: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,10 @@
 
 Shingles are ordered by a global count (rarest first). Two sets that reach the threshold share a shingle in their
 prefixes, and documents with the same prefix and size form one group, so groups rather than documents meet on shingles.
-Groups that meet are gathered round their smallest neighbour, two steps far; the members of such a cluster are compared
-exactly, block by block. Pairs of groups that meet on a shingle but lie in different clusters are filtered by size and
-position, expanded to their members and verified one by one.
+Groups that meet are gathered round their smallest neighbour, two steps far. Within such a cluster the prefixes alone
+show which groups share too few shingles to be linked; the members of the others are compared exactly, block by block.
+Pairs of groups that meet on a shingle but lie in different clusters are filtered by size, position and number of shared
+shingles, expanded to their members and verified one by one.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ SKETCH_BITS, SKETCH_PARTS = 22, 64
 SHARED_BITS, MEMBER_BITS = 27, 23
 #: A block of a cluster holds about so many sets and shingles at most; pairs of blocks are compared in one task.
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 2_500_000
+#: A block of a cluster whose prefixes are compared holds about so many names of groups at most.
+BLOCK_NAMES = 500_000
+#: An own name counts as so many owners of a place; a place is shared if it has one of those and any other owner.
+OWN = 128
 #: Shingles that more sets of a block pair have are counted by matrix products, the others pair by pair.
 DENSE_FROM, DENSE_CELLS = 8, 4_000_000
 
@@ -106,11 +111,12 @@ def _describe(docs: DataFrame, key: str, text: str, size: int, percent: int, ske
     return docs.select(key, text).mapInArrow(run, "doc long, n long, cls binary, prefix array<bigint>")
 
 
-def _tokens(batch: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of groups (gid, n, prefix): prefix shingles, the row of each, and its place in the prefix.
+def _tokens(batch: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of groups (gid, n, prefix): prefix shingles, the row of each, its place in the prefix, and whether the name is its own.
 
-    Each is named twice, with the class of the group's size and the next one. Sizes that allow a link lie in the same
-    class or in neighbouring ones, so such groups share a name; groups of other sizes do not meet.
+    Each is named twice, with the class of the group's size (its own name) and the next one. Sizes that allow a link lie
+    in the same class or in neighbouring ones, so such groups share a name that is an own one of either; groups of other
+    sizes do not meet.
     """
     lists = batch.column(2)
     at = np.asarray(lists.offsets)
@@ -120,7 +126,19 @@ def _tokens(batch: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray
     place = np.arange(len(tokens)) - np.repeat(np.cumsum(length) - length, length)
     size = np.floor(np.log(np.asarray(batch.column(1)) + 1e-9) / -np.log(percent / 100 - 1e-6)).astype(np.uint64)[owner]
     named = np.stack([(tokens ^ (size + np.uint64(k)) * _MIX[3]) * _MIX[2] for k in (0, 1)], 1)
-    return named.ravel().view(np.int64), np.repeat(owner, 2), np.repeat(place, 2)
+    return named.ravel().view(np.int64), np.repeat(owner, 2), np.repeat(place, 2), np.tile([True, False], len(tokens))
+
+
+def _marks(named: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], bits: int) -> Iterator[pa.RecordBatch]:
+    """What a task knows of names, given with the owner of each and whether it is an own one."""
+
+    def used() -> Iterator[tuple[int, np.ndarray]]:
+        for tokens, owner, own in named:
+            for weight, pick in ((OWN, own), (1, ~own)):
+                at = owner[pick].astype(np.uint64) << np.uint64(32) | bitmaps.slots(tokens[pick], bits)
+                yield weight, np.unique(at).astype(np.uint32)
+
+    return bitmaps.send_weighed(used())
 
 
 def _elsewhere(tokens: np.ndarray) -> np.ndarray:
@@ -203,6 +221,81 @@ def _compare_blocks(percent: int):
     return run
 
 
+def _short(tokens: np.ndarray, at: np.ndarray, k: int) -> list[np.ndarray]:
+    """The distinct tokens of each of ``k`` owners."""
+    order = np.lexsort((tokens, at))
+    tokens, at = tokens[order], at[order]
+    new = np.r_[True, (tokens[1:] != tokens[:-1]) | (at[1:] != at[:-1])][: len(tokens)]
+    return np.split(tokens[new], np.cumsum(np.bincount(at[new], minlength=k))[:-1])
+
+
+def fewest_shared(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """So many shingles of both prefixes are shared at least by linked sets of sizes ``n`` and ``m``.
+
+    Linked sets share ``a`` shingles or more. In the order of all shingles, only n - a others of the set can lie before one
+    of them, so all but the last few of the shared ones lie in its prefix, and those of the other set likewise.
+    """
+    a = -(-percent * (n + m) // (100 + percent))
+    return a + percent * -np.maximum(n, m) // 100 + 1
+
+
+def _compare_prefixes(percent: int):
+    """Groups of a pair of blocks that share enough names with another one to be linked, and what to gather them round.
+
+    A cluster of one block falls into components, each named by its smallest group; larger ones stay together.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        gid, tokens, own, n, side = (group.column(c).to_numpy() for c in ("gid", "token", "own", "n", "side"))
+        gids, first, at = np.unique(gid, return_index=True, return_inverse=True)
+        n, side = n[first], side[first]
+        k = len(gids)
+        one = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+        left = np.arange(k) if one else np.flatnonzero(side == 0)
+        right = left if one else np.flatnonzero(side == 1)
+        if k < 2 or not len(left) or not len(right):
+            return pa.table({"gid": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
+        # two groups of one class share own names, two of neighbouring classes own ones of the one and next ones of the other
+        sets = _short(tokens[own], at[own], k) + _short(tokens[~own], at[~own], k)
+        both = overlaps(sets, left, np.r_[right, right + k])
+        mixed = both[:, len(right) :]
+        both = both[:, : len(right)] + mixed + (mixed.T if one else overlaps(sets, left + k, right))
+        p, q = n[left][:, None], n[right][None]
+        ok = (100 * np.minimum(p, q) >= percent * np.maximum(p, q)) & (both >= fewest_shared(p, q, percent))
+        if one:
+            np.fill_diagonal(ok, False)
+        found = np.zeros(k, bool)
+        found[left[ok.any(1)]] = found[right[ok.any(0)]] = True
+        if group.column("blocks")[0].as_py() > 1:
+            c = np.full(k, group.column("c")[0].as_py())
+        else:
+            label, last = np.arange(k), None
+            while last is None or (label != last).any():
+                last = label
+                label = np.minimum(label, np.where(ok, label, k).min(1))
+                label = label[label]
+            c = gids[label]
+        return pa.table({"gid": pa.array(gids[found], pa.int64()), "c": pa.array(c[found], pa.int64())})
+
+    return run
+
+
+def _refined(x: DataFrame, percent: int, groups: int) -> DataFrame:
+    """Of postings with their cluster ``c``: the groups that may have a link within it, and what to gather them round."""
+    sized = x.groupBy("c", "gid").agg(F.count("*").alias("names")).groupBy("c").agg(F.count("*").alias("k"), F.sum("names").alias("names")).where("k > 1")
+    blocks = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("names") / BLOCK_NAMES)).cast("int")
+    sized = cut(sized.select("c", blocks.alias("blocks")), groups)
+    members = x.join(small(sized), "c").withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
+    near = _dealt(members, "blocks", "gid", "n", "own", "token").groupBy("c", "i", "j").applyInArrow(_compare_prefixes(percent), "gid long, c long")
+    return cut(near.groupBy("gid").agg(F.min("c").alias("c")), groups)
+
+
+def _dealt(members: DataFrame, *columns: str) -> DataFrame:
+    """Members of clusters of some blocks, once for each pair of blocks that their own is one of."""
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return members.select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), *columns)
+
+
 def _clusters(posts: DataFrame, groups: int) -> tuple[DataFrame, DataFrame]:
     """The postings, written down, and per group in them the smallest group within two steps over shared shingles."""
     posts = cut(posts)
@@ -229,47 +322,50 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
     groups = held.join(small(first), ["gid", "doc"], "left_semi").select("gid", "n", "prefix")
     bits = bitmaps.bits_for(2 * (groups.agg(F.sum(F.size("prefix"))).first()[0] or 0), SHARED_BITS)
 
-    def gather(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # what only groups of one class name alike under the next class, they name alike under their own: it is not dealt out
+    def gather(arrow: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         for batch in batches(arrow):
-            tokens, owner, _ = _tokens(batch, percent)
-            yield from bitmaps.gather(iter(np.split(tokens, np.flatnonzero(np.diff(owner)) + 1)), bits)
+            tokens, owner, _, own = _tokens(batch, percent)
+            yield tokens, owner, own
 
-    [shared] = bitmaps.build(groups.select("gid", "n", "prefix").mapInArrow(gather, bitmaps.SCHEMA), bits, 2)
+    [shared] = bitmaps.build(groups.select("gid", "n", "prefix").mapInArrow(lambda arrow: _marks(gather(arrow), bits), bitmaps.SCHEMA), bits, OWN + 1)
 
     # most of what passes by chance does not pass again at other places, so it is not dealt out in the steps that follow
-    def gather_again(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(arrow):
-            tokens, owner, _ = _tokens(batch, percent)
+    def gather_again(arrow: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for tokens, owner, own in gather(arrow):
             ok = bitmaps.hits(shared, tokens)
-            tokens, owner = _elsewhere(tokens[ok]), owner[ok]
-            yield from bitmaps.gather(iter(np.split(tokens, np.flatnonzero(np.diff(owner)) + 1)), bits)
+            yield _elsewhere(tokens[ok]), owner[ok], own[ok]
 
-    [again] = bitmaps.build(groups.select("gid", "n", "prefix").mapInArrow(gather_again, bitmaps.SCHEMA), bits, 2)
+    [again] = bitmaps.build(groups.select("gid", "n", "prefix").mapInArrow(lambda arrow: _marks(gather_again(arrow), bits), bitmaps.SCHEMA), bits, OWN + 1)
 
     def post(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow):
-            tokens, owner, place = _tokens(batch, percent)
+            tokens, owner, place, own = _tokens(batch, percent)
             ok = bitmaps.hits(shared, tokens)
             ok[ok] = bitmaps.hits(again, _elsewhere(tokens[ok]))
             gid, n = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tokens[ok], gid[owner[ok]], n[owner[ok]], place[ok])], ["token", "gid", "n", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tokens[ok], gid[owner[ok]], n[owner[ok]], place[ok], own[ok])], ["token", "gid", "n", "pos", "own"])
 
-    posts, label = _clusters(groups.select("gid", "n", "prefix").mapInArrow(post, "token long, gid long, n long, pos long"), n_rows)
+    posts, label = _clusters(groups.select("gid", "n", "prefix").mapInArrow(post, "token long, gid long, n long, pos long, own boolean"), n_rows)
+
+    x = posts.join(small(label), "gid")
+    near = _refined(x, percent, n_rows)
 
     # members of clusters of more than one set, dealt to blocks; each pair of blocks is one task's work
-    members = classes.join(small(label), "gid", "left").withColumn("c", F.coalesce("c", "gid"))
+    members = classes.join(small(near), "gid", "left").withColumn("c", F.coalesce("c", "gid"))
     sized = members.groupBy("c").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     members = cut(members.join(sized.withColumn("blocks", blocks), "c").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")), n_rows)
 
     # what meets across clusters: no pair of these lies in one cluster, so none is compared twice
-    x = posts.join(small(label), "gid")
     # most shingles are named in one cluster only; the few others are found by narrow rows before whole ones are joined
     apart = cut(x.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token"))
     x = cut(x.join(small(apart), "token", "left_semi"))
-    y = x.select("token", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "pos", "c")])
+    y = x.select("token", *[F.col(c).alias(f"{c}2") for c in ("gid", "n", "pos", "own", "c")])
     most = f"100 * (1 + least(n - pos - 1, n2 - pos2 - 1)) * (100 + {percent}) >= 100 * {percent} * (n + n2)"
-    across = x.join(y, "token").where(f"c < c2 AND {_close('n', 'n2', percent)} AND {most}").select("gid", "gid2").distinct()
+    enough = f"count(*) >= ({percent} * (n + n2) + {99 + percent}) DIV {100 + percent} - ({percent} * greatest(n, n2) + 99) DIV 100 + 1"  # as fewest_shared
+    met = x.join(y, "token").where(f"c < c2 AND (own OR own2) AND {_close('n', 'n2', percent)}").groupBy("gid", "gid2", "n", "n2")
+    across = met.agg(F.expr(f"max({most}) AND {enough}").alias("ok")).where("ok").select("gid", "gid2")
     cls = classes.select("gid", "cls")
     pairs = across.join(cls.withColumnRenamed("cls", "cls1"), "gid").join(cls.select(F.col("gid").alias("gid2"), F.col("cls").alias("cls2")), "gid2").select("cls1", "cls2")
     pairs = cut(pairs)
@@ -293,9 +389,7 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
 
     several = members.where("k > 1").select("cls", "rep", "c", "block", "blocks")
     dealt = reread(several).join(small(several), ["cls", "rep"])
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("c", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "hashes")
-    within = dealt.groupBy("c", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
+    within = _dealt(dealt, "rep", "hashes").groupBy("c", "i", "j").applyInArrow(_compare_blocks(percent), "a long, b long")
 
     def verify(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow):
