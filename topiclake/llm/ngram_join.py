@@ -32,8 +32,8 @@ SKETCH_BITS, SKETCH_PARTS = 22, 64
 SHARED_BITS, MEMBER_BITS = 27, 23
 #: A block of a cluster holds about so many sets and shingles at most; pairs of blocks are compared in one task.
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 2_500_000
-#: A block of a cluster whose prefixes are compared holds about so many names of groups at most.
-BLOCK_NAMES = 500_000
+#: A block of a cluster whose prefixes are compared holds about so many names of groups at most; tasks are dealt so many.
+BLOCK_NAMES, TASK_NAMES = 500_000, 100_000
 #: An own name counts as so many owners of a place; a place is shared if it has one of those and any other owner.
 OWN = 128
 #: Shingles that more sets of a block pair have are counted by matrix products, the others pair by pair.
@@ -168,7 +168,7 @@ def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.
     row, col = np.full(len(sets), -1), np.full(len(sets), -1)
     row[left], col[right] = np.arange(len(left)), np.arange(len(right))
     out = np.zeros((len(left), len(right)), np.int32)
-    for d in range(2, DENSE_FROM + 1):
+    for d in np.unique(df[(df > 1) & (df <= DENSE_FROM)]):
         of = owner[starts[df == d][:, None] + np.arange(d)]
         for i in range(d):
             for j in range(d):
@@ -283,10 +283,12 @@ def _compare_prefixes(percent: int):
 def _refined(x: DataFrame, percent: int, groups: int) -> DataFrame:
     """Of postings with their cluster ``c``: the groups that may have a link within it, and what to gather them round."""
     sized = x.groupBy("c", "gid").agg(F.count("*").alias("names")).groupBy("c").agg(F.count("*").alias("k"), F.sum("names").alias("names")).where("k > 1")
-    blocks = F.greatest(F.ceil(F.col("k") / BLOCK_SETS), F.ceil(F.col("names") / BLOCK_NAMES)).cast("int")
-    sized = cut(sized.select("c", blocks.alias("blocks")), groups)
-    members = x.join(small(sized), "c").withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
-    near = _dealt(members, "blocks", "gid", "n", "own", "token").groupBy("c", "i", "j").applyInArrow(_compare_prefixes(percent), "gid long, c long")
+    blocks = F.greatest(F.ceil(2 * F.col("k") / BLOCK_SETS), F.ceil(F.col("names") / BLOCK_NAMES)).cast("int")
+    sized = cut(sized.select("c", blocks.alias("blocks"), "names"), groups)
+    tasks = max(x.sparkSession.sparkContext.defaultParallelism, -(-(sized.agg(F.sum(F.col("names") * F.col("blocks"))).first()[0] or 0) // TASK_NAMES))
+    members = x.join(small(sized.select("c", "blocks")), "c").withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
+    dealt = _dealt(members, "blocks", "gid", "n", "own", "token").repartition(tasks, "c", "i", "j")
+    near = dealt.groupBy("c", "i", "j").applyInArrow(_compare_prefixes(percent), "gid long, c long")
     return cut(near.groupBy("gid").agg(F.min("c").alias("c")), groups)
 
 
