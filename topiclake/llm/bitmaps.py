@@ -6,6 +6,7 @@ afterwards; the larger the input, the more passes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,8 +77,8 @@ def gather(owned: Iterator[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
 def build(gathered: DataFrame, bits: int, *owners: int) -> list[Broadcast]:
     """For each number (up to 255) a bitmap of the slots that so many owners use at least, from rows made by ``gather``.
 
-
-    Each segment is made by one task; the driver only joins the segments, ``2**bits / 8`` bytes a bitmap.
+    Each segment is made by one task; the driver only joins the segments, ``2**bits / 8`` bytes a bitmap. They come to it
+    compressed, as its JVM holds what is collected several times over.
     """
 
     def merge(group: pa.Table) -> pa.Table:
@@ -85,7 +86,7 @@ def build(gathered: DataFrame, bits: int, *owners: int) -> list[Broadcast]:
         for places, counts in zip(group.column("places").to_pylist(), group.column("counts").to_pylist()):
             at = unpacked(places)
             total[at] = np.minimum(total[at] + np.frombuffer(counts, np.uint8), 255)
-        maps = {f"m{i}": pa.array([np.packbits(total >= n).tobytes()], pa.binary()) for i, n in enumerate(owners)}
+        maps = {f"m{i}": pa.array([zlib.compress(np.packbits(total >= n).tobytes(), 1)], pa.binary()) for i, n in enumerate(owners)}
         return pa.table({"segment": group.column("segment")[:1]} | maps)
 
     whole = [np.zeros(1 << (bits - 3), np.uint8) for _ in owners]
@@ -93,7 +94,7 @@ def build(gathered: DataFrame, bits: int, *owners: int) -> list[Broadcast]:
     schema = ", ".join(["segment int", *(f"m{i} binary" for i in range(len(owners)))])
     for row in gathered.groupBy("segment").applyInArrow(merge, schema).collect():
         for i, bitmap in enumerate(whole):
-            bitmap[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row[f"m{i}"], np.uint8)
+            bitmap[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(zlib.decompress(row[f"m{i}"]), np.uint8)
     return [gathered.sparkSession.sparkContext.broadcast(bitmap) for bitmap in whole]
 
 

@@ -77,12 +77,12 @@ def count_sketch(docs: DataFrame, text: str, size: int) -> Broadcast:
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(zlib.decompress(c), np.uint32).astype(np.uint64) for c in group.column("counts").to_pylist())
-        return pa.table({"part": group.column("part")[:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())})
+        return pa.table({"part": group.column("part")[:1], "counts": pa.array([zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)], pa.binary())})
 
     whole = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.uint32)
     counted = docs.select(text).mapInArrow(count, "part int, counts binary")
     for row in counted.groupBy("part").applyInArrow(add, "part int, counts binary").collect():
-        whole[row["part"]] = np.frombuffer(row["counts"], np.uint32)
+        whole[row["part"]] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     return docs.sparkSession.sparkContext.broadcast(whole.ravel())
 
 
@@ -314,6 +314,7 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
     modest_batches(docs.sparkSession)
     sketch = count_sketch(docs, text, size)
     described = cut(_describe(docs, key, text, size, percent, sketch).withColumn("gid", F.xxhash64("n", "prefix")))
+    sketch.destroy()  # what is written down needs it no more, and the driver would hold it through all steps that follow
     n_rows = described.count()
     held = described.where("doc IS NOT NULL AND n > 0")
     classes = cut(held.groupBy("cls").agg(F.min("doc").alias("rep"), F.min("n").alias("n"), F.min("gid").alias("gid")), n_rows)
@@ -349,6 +350,8 @@ def describe_and_link(docs: DataFrame, key: str, text: str, size: int, percent:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tokens[ok], gid[owner[ok]], n[owner[ok]], place[ok], own[ok])], ["token", "gid", "n", "pos", "own"])
 
     posts, label = _clusters(groups.select("gid", "n", "prefix").mapInArrow(post, "token long, gid long, n long, pos long, own boolean"), n_rows)
+    shared.destroy()
+    again.destroy()
 
     x = posts.join(small(label), "gid")
     near = _refined(x, percent, n_rows)

@@ -330,6 +330,8 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     # a fragment whose anchor has one surrounding is answered by its own smallest owner
     alone = known.where("lo < hi").join(several, "anchor", "left_anti").select("fragment", F.lit(0).alias("skip"), F.lit(0).alias("run"), F.array("lo").alias("least"))
     answers = cut(alone.union(sorted_))
+    for done in (*senders, stretched):
+        done.destroy()  # answers are written down; the driver would hold these through the steps that follow
     answered = _bitmap(answers.select("fragment"), FRAGMENT_BITS)
 
     def look_up(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
