@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +58,48 @@ def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
         df = df.coalesce(max(FEW_FILES, 2 * spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     path = f"{shared_root(spark)}/llm-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.cut_to = path
+    for made in _made.get():
+        made.append(table)
+    return table
+
+
+#: Tables that ``cut`` wrote, for each ``written`` that is open.
+_made: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("made", default=())
+
+
+@contextmanager
+def written() -> Iterator[list[DataFrame]]:
+    """The tables that ``cut`` writes inside, so that those of steps that are over can be dropped."""
+    made: list[DataFrame] = []
+    before = _made.set((*_made.get(), made))
+    try:
+        yield made
+    finally:
+        _made.reset(before)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``cut`` wrote: nothing that is still to run may read them."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.cut_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_cleared(spark: SparkSession) -> Iterator[None]:
+    """Files of a shuffle go when the job that made them ends; else they stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP_SETTING, None)
+    spark.conf.set(_CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP_SETTING) if before is None else spark.conf.set(_CLEANUP_SETTING, before)
 
 
 #: Rows of a few numbers that may be sent to every task; more are joined by a shuffle.

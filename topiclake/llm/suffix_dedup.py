@@ -8,7 +8,7 @@ one document has are looked at, and bytes are sent only where the surroundings o
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 
 from topiclake.llm import bitmaps
 from topiclake.llm.bpe import batches
-from topiclake.llm.common import cut, modest_batches
+from topiclake.llm.common import cut, drop, modest_batches, shuffles_cleared
 
 GRAM = 20
 #: Stretches that share an anchor, at most: what was found of them is one number, 31 bits below the first one's place.
 SPAN = 31
 #: Most places of the bitmaps that spare anchors of one document, fragments that need not be compared or were sent by
 #: another owner, and fragments without an answer the way through a shuffle; smaller inputs take smaller ones.
-ANCHOR_BITS, MIXED_BITS, FRAGMENT_BITS = 28, 26, 26
+ANCHOR_BITS, MIXED_BITS, FRAGMENT_BITS = 28, 28, 28
+#: Documents of an anchor are counted by places so many bits finer than its bitmap's: only anchors that several documents
+#: have take a place of the bitmap, and others pass where they meet one by chance.
+FINER = 8
 #: Places a value in the bitmaps that follow the one of anchors: what passes them by chance is sent and sorted in vain.
 PLACES = 16
 #: An anchor of so many different surroundings is dealt by its stretches rather than as one bucket.
@@ -125,14 +128,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _POWERS = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
-def fragments(data: np.ndarray, ends: np.ndarray, length: int, wanted: Broadcast) -> tuple[np.ndarray, ...]:
-    """Of the wanted anchors: hash, first stretch (in all bytes), number of stretches, place of the anchor in the fragment, fragment key, text.
+def fragments(data: np.ndarray, ends: np.ndarray, length: int, wanted: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Of the anchors whose hashes are wanted: hash, first stretch (in all bytes), number of stretches, place of the anchor in the fragment, fragment key, text.
 
     The fragment is all bytes of the anchor's stretches; its key is a hash of them and of the anchor's place.
     """
     h, first, count, at, text = anchors_of(data, ends, length)
     if len(h):
-        ok = bitmaps.hits(wanted, h)
+        ok = wanted(h)
         h, first, count, at, text = h[ok], first[ok], count[ok], at[ok], text[ok]
     if not len(h):
         return h.view(np.int64), first, count, at, h.view(np.int64), text
@@ -241,28 +244,34 @@ def _batch(columns: list[list], names: list[str], kinds: list[pa.DataType]) -> p
 def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc``, ``mark`` (hash of the text) and ``hits``: places of stretches found in a smaller document, 31 in a number."""
     modest_batches(docs.sparkSession)
+    with shuffles_cleared(docs.sparkSession):
+        return _spans(docs, length, key, text)
+
+
+def _spans(docs: DataFrame, length: int, key: str, text: str) -> DataFrame:
     read = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), F.xxhash64(text).alias("mark")).where("doc IS NOT NULL AND text IS NOT NULL")
 
     anchor_count = 2 * (read.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (length - _gram(length) + 1)
     bits = bitmaps.bits_for(anchor_count, ANCHOR_BITS)
+    fine = bits + FINER
 
     def owners(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def used() -> Iterator[np.ndarray]:
             for batch in batches(arrow, 1024):
                 for _, data, ends in joined(batch.column(0).to_pylist()):
                     h, _, _, _, text = anchors_of(data, ends, length)
-                    yield np.unique(text.view(np.uint64) << np.uint64(32) | bitmaps.slots(h, bits)).astype(np.uint32)
+                    yield np.unique(text.view(np.uint64) << np.uint64(fine) | bitmaps.slots(h, fine)) & np.uint64((1 << fine) - 1)
 
-        yield from bitmaps.send(used())
+        yield from bitmaps.send(used(), FINER)
 
-    [shared] = bitmaps.build(read.select("text").mapInArrow(owners, bitmaps.SCHEMA), bits, 2)
+    [shared] = bitmaps.build(read.select("text").mapInArrow(owners, bitmaps.SCHEMA), bits, 2, finer=FINER)
 
     # one row per distinct fragment, with its smallest and largest owner; of the anchor 32 bits, which tell enough here
     def classes(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(arrow, 1024):
             keys, hashes, docs_, ids = [], [], [], np.asarray(batch.column(0))
             for at, data, ends in joined(batch.column(1).to_pylist()):
-                h, _, _, _, k, text = fragments(data, ends, length, shared)
+                h, _, _, _, k, text = fragments(data, ends, length, lambda h: bitmaps.hits(shared, h))
                 keys.append(k)
                 hashes.append(h)
                 docs_.append(ids[at + text])
@@ -280,8 +289,9 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     several = cut(known.groupBy("anchor").agg(F.count("*").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("n > 1 AND lo < hi").select("anchor", "n"), n_known)
     mixed = cut(known.join(several.select("anchor"), "anchor").select("fragment", "lo", "hi"), n_known)
     senders = [_bitmap(mixed.where(c).select("fragment", "lo"), MIXED_BITS) for c in ("lo = hi", "lo < hi")]
-    # by anchor, so that a chance hit deals all fragments of its anchor alike and they still meet
-    stretched = _bitmap(several.where(F.col("n") >= HOT_FRAGMENTS).select(F.col("anchor").cast("long")), MIXED_BITS)
+    near = _bitmap(several.select(F.col("anchor").cast("long")), MIXED_BITS)
+    # few: each has many of the fragments
+    stretched = np.array([r["anchor"] for r in several.where(F.col("n") >= HOT_FRAGMENTS).select("anchor").collect()], np.int64)
     buckets = max(1, -(-mixed.count() // BUCKET_FRAGMENTS))
 
     names = ["deal", "anchor", "place", "piece", "fragment", "skip", "lo", "hi"]
@@ -291,12 +301,13 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
         for batch in batches(arrow, 1024):
             rows, seen, ids = [], set(), np.asarray(batch.column(0))
             for at, data, ends in joined(batch.column(1).to_pylist()):
-                h, first, count, place, key, text = fragments(data, ends, length, shared)
+                h, first, count, place, key, text = fragments(data, ends, length, lambda h: bitmaps.hits(near, h.view(np.int64) >> 32))
                 if not len(key):
                     continue
                 doc = ids[at + text]
                 own = _joint(key, doc)
-                one, many, hot = (bitmaps.hits(b, x) for b, x in zip((*senders, stretched), (own, own, h >> 32)))
+                one, many = (bitmaps.hits(b, own) for b in senders)
+                hot = np.isin(h >> 32, stretched)
                 raw = data.tobytes()
                 for i in np.flatnonzero(one | many).tolist():
                     d, k, f, n, p, a = int(doc[i]), int(key[i]), int(first[i]), int(count[i]), int(place[i]), int(h[i])
@@ -330,8 +341,9 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     # a fragment whose anchor has one surrounding is answered by its own smallest owner
     alone = known.where("lo < hi").join(several, "anchor", "left_anti").select("fragment", F.lit(0).alias("skip"), F.lit(0).alias("run"), F.array("lo").alias("least"))
     answers = cut(alone.union(sorted_))
-    for done in (*senders, stretched):
+    for done in (*senders, near):
         done.destroy()  # answers are written down; the driver would hold these through the steps that follow
+    drop(known, several, mixed)
     answered = _bitmap(answers.select("fragment"), FRAGMENT_BITS)
 
     def look_up(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +351,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
             columns: list[list[np.ndarray]] = [[] for _ in range(5)]
             ids, marks = np.asarray(batch.column(0)), np.asarray(batch.column(2))
             for at, data, ends in joined(batch.column(1).to_pylist()):
-                _, first, count, _, key, text = fragments(data, ends, length, shared)
+                _, first, count, _, key, text = fragments(data, ends, length, lambda h: bitmaps.hits(shared, h))
                 if not len(key):
                     continue
                 ok = bitmaps.hits(answered, key)
@@ -354,7 +366,11 @@ def repeated_spans(docs: DataFrame, length: int = 50, key: str = "doc_id", text:
     several_bits = F.aggregate(F.transform("least", bit), F.lit(0).cast("long"), lambda a, x: a + x)
     bits_ = F.when(F.size("least") == 1, F.call_function("shiftleft", F.lit(1).cast("long"), run) - 1).otherwise(several_bits)
     hit = F.call_function("shiftleft", (F.col("at") + F.col("skip")).cast("long"), F.lit(SPAN)) + bits_
-    return asked.select("doc", "mark", hit.alias("hit")).groupBy("doc", "mark").agg(F.collect_list("hit").alias("hits"))
+    spans = cut(asked.select("doc", "mark", hit.alias("hit")).groupBy("doc", "mark").agg(F.collect_list("hit").alias("hits")))
+    for done in (shared, answered):
+        done.unpersist()
+    drop(answers)
+    return spans
 
 
 def _gone(size: int, hits: list[int] | None, length: int) -> np.ndarray:
