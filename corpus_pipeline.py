@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclake.llm import ngram_join, packing, quality, secrets, suffix_dedup
-from topiclake.llm.common import cut, table
+from topiclake.llm.common import cut, drop, table, written
 from topiclake.llm.queries import TOKENIZER
 
 
@@ -56,8 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written and read again before the next."""
+    """All stages over ``documents``; each one's rows are written and read again before the next, and go after it."""
     docs = table(spark, sf_dir, "documents")
+    over = []
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        with written() as made:
+            docs = cut(stage(spark, docs, sf_dir))
+        drop(*over, *(t for t in made if t is not docs))
+        over = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,9 +5,11 @@ import random
 import time
 from pathlib import Path
 
+import corpus_pipeline
 import numpy as np
+import pytest
 
-from topiclake.llm import bitmaps, common, suffix_dedup
+from topiclake.llm import bitmaps, common, ngram_join, suffix_dedup
 
 
 def texts(n):
@@ -52,3 +54,27 @@ def test_suffix_dedup_leaves_one_table_and_no_shuffle(spark):
     assert not shuffles(spark) - moved
     assert spans.count() > 0
     assert spark.conf.get(common._CLEANUP_SETTING) == setting
+
+
+@pytest.mark.parametrize("again", [0, 3])
+def test_near_duplicates_leave_few_tables(spark, again):
+    made = texts(60)
+    rows = made + [(60 + i, t) for i, t in made[:20]] + [(i, f"{i} " + t) for i, t in made[30 : 30 + again]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    had = tables(spark)
+    kept = ngram_join.keep_one(docs)
+    # keys that go; where keys repeat, these and their rows too
+    assert len(tables(spark) - had) == (3 if again else 1)
+    assert {r.doc_id for r in kept.collect()} == set(range(60))
+
+
+def test_pipeline_keeps_one_stage_on_disk(spark, tmp_path):
+    rng = random.Random(10)
+    words = "the of and to in is that it with for on was as by the people water city river station".split()
+    sentence = lambda: " ".join(rng.choice(words) for _ in range(12)).capitalize() + "."
+    rows = [(i, "\n".join(sentence() for _ in range(12)), "en", "web", 0) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    had = tables(spark)
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert len(tables(spark) - had) == 1  # what the last stage reads
+    assert packed.count() > 0

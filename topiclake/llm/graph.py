@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topiclake.llm.common import cut
+from topiclake.llm.common import cut, drop
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,6 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        e = cut(small.union(least.select("a", F.col("m").alias("b"))).distinct(), 2 * mark[0])
+        over, e = e, cut(small.union(least.select("a", F.col("m").alias("b"))).distinct(), 2 * mark[0])
+        drop(over)
     leaves = e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
     return leaves.union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct().join(leaves, "node", "left_anti"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from topiclake.llm import bitmaps
 from topiclake.llm.bpe import batches
-from topiclake.llm.common import cut, modest_batches, small
+from topiclake.llm.common import cut, drop, modest_batches, small, written
 from topiclake.llm.graph import components
 
 #: Places of the count sketch that orders shingles. Its size is fixed; it steers how much work is done, not the result.
@@ -417,12 +417,22 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id",
     rows that repeat a key are one node with all their sets. Keys must be whole numbers. Other columns are not read;
     an empty table gives no rows. Exact copies meet as one set, so they cost no pairs.
     """
-    described, edges = describe_and_link(docs, key, text, size, percent)
+    with written() as made:
+        described, edges = describe_and_link(docs, key, text, size, percent)
     parts = components(edges)
+    drop(*(t for t in made if t is not described))
     out = described.select(F.col("doc").alias(key), F.col("n").alias("n_shingles")).join(parts.withColumnRenamed("node", key), key, "left")
     return out.select(key, "n_shingles", F.coalesce("component", key).alias("component_id"))
 
 
+def _gone(docs: DataFrame, size: int, percent: int, key: str, text: str) -> DataFrame:
+    """Keys of the documents that are not the smallest of their component, all that stays on disk of the join."""
+    with written() as made:
+        gone = cut(join(docs, size, percent, key, text).where(F.col(key) != F.col("component_id")).select(key).distinct())
+    drop(*(t for t in made if t is not gone))
+    return gone
+
+
 #: Above all usual keys: where the further texts of repeated keys are numbered from.
 FURTHER = 1 << 62
 
@@ -436,7 +446,8 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_
     known = docs.select(F.col(key).cast("long").alias("_k")).where("_k IS NOT NULL")
     repeated = cut(known.groupBy("_k").agg(F.count("*").alias("n")).where("n > 1").select("_k"))
     if repeated.isEmpty():
-        gone = join(docs, size, percent, key, text).where(F.col(key) != F.col("component_id")).select(key).distinct()
+        drop(repeated)
+        gone = _gone(docs, size, percent, key, text)
         return docs.join(gone, key, "left_anti").select(*docs.columns)
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).cast("long").alias("_k"), F.col(text).alias("_t"))
     again = rows.join(small(repeated), "_k", "left_semi").dropDuplicates(["_k", "_t"])
@@ -444,5 +455,5 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_
     first = again.groupBy("_k").agg(F.min_by("_i", F.struct(F.xxhash64("_t"), "_i")).alias("_first"))
     further = again.join(first, "_k").select("_row", F.when(F.col("_i") == F.col("_first"), F.col("_k")).otherwise(F.col("_i") + FURTHER).alias("_k"), "_t")
     nodes = rows.join(small(repeated), "_k", "left_anti").select("_row", "_k", "_t").union(further)
-    gone = join(nodes, size, percent, "_k", "_t").where("_k <> component_id").select("_k").distinct()
+    gone = _gone(nodes, size, percent, "_k", "_t")
     return nodes.join(gone, "_k", "left_anti").select("_row.*")
